@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textmill.functions import fixed, rules
-from textmill.functions.expressions import UNICODE, collapse_spaces, let, strip, sub
+from textmill.functions.expressions import UNICODE, collapse_spaces, strip, sub
 from textmill.functions.html import html_text
 from textmill.functions.rulechain import rule_chain
 
@@ -23,14 +23,17 @@ def strip_greeting(text: Column, pattern: str = fixed.GREETING) -> Column:
 
 
 def cut_at_sign_off(text: Column) -> Column:
-    """Keep what stands before the first sign-off; later lines go as well."""
-    return F.get(F.split(text, UNICODE + fixed.SIGN_OFF, 2), F.lit(0))
+    """Keep what stands before the first sign-off; later lines go as well.
+
+    All sign-offs start with two of the letters looked ahead at, which rules out most positions.
+    """
+    return F.get(F.split(text, UNICODE + r"(?=[bdhkmrsvw][ehi])" + fixed.SIGN_OFF, 2), F.lit(0))
 
 
 def cut_at_sign_off_older(text: Column) -> Column:
     """Cut where the text of the first sign-off line is first found, then trim."""
     found = F.regexp_extract(text, UNICODE + "(" + fixed.SIGN_OFF_OLDER + ".*)", 1)
-    cut = let(found, lambda line: strip(F.substr(text, F.lit(1), F.position(line, text) - 1)))
+    cut = strip(F.substr(text, F.lit(1), F.position(found, text) - 1))
     return F.when(found != "", cut).otherwise(text)
 
 
@@ -43,13 +46,13 @@ def drop_closing(text: Column) -> Column:
 
 
 def dots_after_letters(text: Column) -> Column:
-    """A period after a letter or underscore becomes an underscore."""
-    return sub(text, r"(?<=[^\d\W])\.", "_")
+    """A period after a letter or underscore becomes an underscore (found by the period, then looking back)."""
+    return sub(text, r"\.(?<=[^\d\W]\.)", "_")
 
 
 def dots_in_numbers(text: Column) -> Column:
     """A period between digits goes, if two word characters stand before it."""
-    return sub(text, r"(?<=[^\W]\d)\.(?=\d)")
+    return sub(text, r"\.(?<=[^\W]\d\.)(?=\d)")
 
 
 def drop_dots_and_exclamations(text: Column) -> Column:

@@ -12,7 +12,8 @@ from textmill.functions.expressions import UNICODE, let, matches, strip, sub
 
 # fixed values: separators and contractions of the public treebank word tokenizer
 _COMMA = r"([:,])([^0-9])"
-_SEPARATORS = r"""\.\.\.|--|[;@#$%&\[\](){}<>"`«»“”„‘’]"""
+_SEPARATORS = ';@#$%&[](){}<>"`«»“”„‘’'
+_LONG_SEPARATORS = r"\.\.\.|--"
 _CONTRACTIONS = r"([^' ])('ll|'re|'ve|n't|'s|'m|'d) "
 _KEPT = r"[^\p{L}\p{N}_!?\s\p{Z}]+"
 _SPACES = r"[\s\p{Z}]+"
@@ -20,19 +21,22 @@ _SPACES = r"[\s\p{Z}]+"
 
 def _separate(text: Column) -> Column:
     text = F.regexp_replace(text, _COMMA, " $2")
-    text = F.concat(F.lit(" "), F.regexp_replace(text, _SEPARATORS, " "), F.lit(" "))
-    text = F.regexp_replace(text, _CONTRACTIONS, "$1 $2 ")
+    text = F.regexp_replace(F.translate(text, _SEPARATORS, " " * len(_SEPARATORS)), _LONG_SEPARATORS, " ")
+    text = F.concat(F.lit(" "), text, F.lit(" "))
+    # the test for an apostrophe is far cheaper than the pattern
+    text = F.when(F.contains(text, F.lit("'")), F.regexp_replace(text, _CONTRACTIONS, "$1 $2 ")).otherwise(text)
     return F.regexp_replace(text, r"([?!])", " $1 ")
 
 
 def word_tokens(text: Column) -> Column:
     """Word tokens, cleaned of punctuation, digit runs and outer underscores; `?` and `!` stay.
 
-    The clean-up runs on the whole text before it is split, so no lambda runs per token.
+    The clean-up runs on the whole text before it is split, so no lambda runs per token. Patterns
+    start with the rare character and look back, so most positions fail at once.
     """
     text = F.regexp_replace(_separate(text), UNICODE + _KEPT, "")
-    text = sub(text, r"_(?<!\S_)|\d+(_(?!\S)|)|_(?!\S)")
-    text = sub(text, r"_(?<!\S_)|_(?!\S)")
+    text = sub(text, r"\d+(?:_(?!\S))?|_(?:(?<!\S_)|(?!\S))")
+    text = sub(text, r"_(?:(?<!\S_)|(?!\S))")
     return F.array_remove(F.split(text, UNICODE + _SPACES), "")
 
 
@@ -55,20 +59,16 @@ def raw_tokens(text: Column) -> Column:
 def everygrams(tokens: Column, longest: int) -> Column:
     """All runs of 1..longest tokens joined by an underscore, shorter runs first."""
 
-    def runs(items: Column) -> Column:
-        lengths = [
-            F.when(
-                F.size(items) >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.size(items) - (n - 1)),
-                    lambda start, n=n: F.array_join(F.slice(items, start, n), "_"),
-                ),
-            ).otherwise(F.array().cast("array<string>"))
-            for n in range(1, longest + 1)
-        ]
-        return F.concat(*lengths)
+    def runs(items: Column, length: int) -> Column:
+        return F.when(
+            F.size(items) >= length,
+            F.transform(
+                F.sequence(F.lit(1), F.size(items) - (length - 1)),
+                lambda start: F.array_join(F.slice(items, start, length), "_"),
+            ),
+        ).otherwise(F.array().cast("array<string>"))
 
-    return let(tokens, runs)
+    return let(tokens, lambda items: F.concat(*[runs(items, n) for n in range(1, longest + 1)]))
 
 
 def tokenize(text: Column, n_gram: int = 1) -> Column:
