@@ -11,15 +11,15 @@ from textmill.functions import tokens as tok
 from textmill.operators import audit, eda, shape, threads
 from textmill.session import scratch_path
 from textmill.sources import files
-from textmill.sources.tables import sql_query, table
+from textmill.sources.tables import sql_query, table, text_table
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents")
+    return text_table(spark, sf, "documents")
 
 
 def conversations(spark, sf):
-    return table(spark, sf, "conversations")
+    return text_table(spark, sf, "conversations")
 
 
 def rounded(name):

@@ -23,7 +23,7 @@ from textmill.functions import clean, fixed, html, rulechain, rules, stem
 from textmill.functions import tokens as tok
 from textmill.operators import eda, ngrams, sentences, vocabulary
 from textmill.operators.shape import shorter_than
-from textmill.sources.tables import table
+from textmill.sources.tables import text_table
 
 # Messages around the given texts, so that greetings, closings and rules have something to match.
 OPENINGS = ("Hej Anna Bo,", "Kære Bo Ib Holm", "Dear sir or madam\n", "Hi ", "tak for din mail. ", "")
@@ -276,12 +276,12 @@ def keyword_replace_messages(spark, sf):
 
 @query("html_text")
 def html_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.html_text(F.col("html")).alias("text"))
+    return text_table(spark, sf, "pages").select("page_id", html.html_text(F.col("html")).alias("text"))
 
 
 @query("html_text_with_code")
 def html_text_with_code(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.html_text(F.col("html"), keep_code=True).alias("text"))
+    return text_table(spark, sf, "pages").select("page_id", html.html_text(F.col("html"), keep_code=True).alias("text"))
 
 
 def plain_rules(*tables_of_rules):
@@ -337,7 +337,7 @@ def rule_clean_masked(spark, sf):
 
 @query("legacy_clean")
 def legacy_clean(spark, sf):
-    return table(spark, sf, "pages").select("page_id", clean.clean_legacy(F.col("html")).alias("text"))
+    return text_table(spark, sf, "pages").select("page_id", clean.clean_legacy(F.col("html")).alias("text"))
 
 
 @query("thread_extract_clean")

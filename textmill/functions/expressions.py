@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # \w, \b, \s and \d follow Unicode and only \n ends a line, as in Python patterns
@@ -36,3 +36,21 @@ def collapse_spaces(column: Column) -> Column:
 def words(column: Column) -> Column:
     """White-space separated words; empty text gives an empty array."""
     return F.array_remove(F.split(column, UNICODE + r"\s+"), "")
+
+
+def explode_rows(df: DataFrame, keep: Sequence[str | Column], array: Column, name: str) -> DataFrame:
+    """One row per array item; rows without items go.
+
+    A plain explode makes the optimizer test the array for items below it, which computes an
+    expensive array (tokens, model output) again for every test. The outer form with a filter
+    on the item computes it once.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
+def inline_rows(df: DataFrame, keep: Sequence[str | Column], array: Column) -> DataFrame:
+    """One row per struct of an array, with the fields as columns; see `explode_rows`."""
+    item = "_item"
+    exploded = df.select(*keep, F.explode_outer(array).alias(item)).filter(F.col(item).isNotNull())
+    names = [c if isinstance(c, str) else exploded.columns[i] for i, c in enumerate(keep)]
+    return exploded.select(*names, f"{item}.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions.expressions import let
+from textmill.functions.expressions import inline_rows, let
 
 
 def trim_mask(mask: Column) -> Column:
@@ -30,7 +30,7 @@ def paired(mask: Column, data: Column) -> Column:
 
 def unpivot_audit(df: DataFrame, key: str, mask: str, data: str) -> DataFrame:
     """One row per attribute and value."""
-    return df.select(key, F.inline(paired(F.col(mask), F.col(data))))
+    return inline_rows(df, [key], paired(F.col(mask), F.col(data)))
 
 
 def changed_values(df: DataFrame, key: str, mask: str, data: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.functions.expressions import words
+from textmill.functions.expressions import explode_rows, words
 from textmill.operators.ordering import global_running
 
 
@@ -68,7 +68,7 @@ def length_stats(df: DataFrame, text: str, over: int) -> DataFrame:
 def word_frequency(df: DataFrame, text: str) -> DataFrame:
     """Frequency of every word with its share and the running share, most frequent first."""
     counted = (
-        df.select(F.explode(words(F.col(text))).alias("word"))
+        explode_rows(df, [], words(F.col(text)), "word")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("abs_freq"))
     )
@@ -83,13 +83,13 @@ def word_frequency(df: DataFrame, text: str) -> DataFrame:
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return explode_rows(df, [], F.col(tokens), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_frequency(df: DataFrame, tokens: str) -> DataFrame:
     """Documents per token; a token counts once per row, so one shuffle is enough."""
     return (
-        df.select(F.explode(F.array_distinct(tokens)).alias("token"))
+        explode_rows(df, [], F.array_distinct(tokens), "token")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("df"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import fixed, tokens
+from textmill.functions.expressions import inline_rows
 
 
 def tagged_sentences(
@@ -13,7 +14,7 @@ def tagged_sentences(
 ) -> DataFrame:
     """(key, pos, sentence, tag); splitting and tagging stay inside the row."""
     tagged = tokens.tag_sentences(tokens.split_sentences(F.col(text)), table, after_ending)
-    return df.select(key, F.inline(tagged))
+    return inline_rows(df, [key], tagged)
 
 
 def tag_counts(tagged: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions.expressions import words
+from textmill.functions.expressions import explode_rows, words
 
 
 def select_renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -91,7 +91,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def vocabulary_list(df: DataFrame, tokens: str) -> DataFrame:
-    return df.select(F.explode(tokens).alias("token")).distinct()
+    return explode_rows(df, [], F.col(tokens), "token").distinct()
 
 
 def fill_null_text(df: DataFrame, columns: Sequence[str], value: str = " ") -> DataFrame:

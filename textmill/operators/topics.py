@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions import vectors
+from textmill.functions.expressions import inline_rows
 
 
 def asymmetric_prior(k: int) -> list[float]:
@@ -66,9 +67,8 @@ def with_topic_vector(df: DataFrame, model: LDAModel, output: str = "lda_feature
 
 def mean_topic_vector(df: DataFrame, vector: str) -> DataFrame:
     """(topic, mean): the element-wise mean."""
-    return (
-        df.select(F.posexplode(vector).alias("topic", "_p")).groupBy("topic").agg(F.avg("_p").alias("mean"))
-    )
+    numbered = F.transform(vector, lambda p, i: F.struct(i.alias("topic"), p.alias("_p")))
+    return inline_rows(df, [], numbered).groupBy("topic").agg(F.avg("_p").alias("mean"))
 
 
 def top_topics(means: DataFrame, n: int) -> DataFrame:
@@ -135,7 +135,7 @@ def best_topics(df: DataFrame, vector: str, threshold: float = 0.0) -> DataFrame
 def all_topics(df: DataFrame, vector: str, minimum: float = 0.0) -> DataFrame:
     """One row per topic that reaches the minimum."""
     others = [c for c in df.columns if c != vector]
-    return df.select(*others, F.inline(vectors.topic_scores(F.col(vector), minimum)))
+    return inline_rows(df, others, vectors.topic_scores(F.col(vector), minimum))
 
 
 def distribution_series(means: DataFrame, n_top: int = 5) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions import fixed
-from textmill.functions.expressions import let
+from textmill.functions.expressions import explode_rows, inline_rows, let
 from textmill.operators.ordering import global_running
 
 KEEP_N = 100_000
@@ -27,7 +27,7 @@ def token_statistics(df: DataFrame, tokens: str) -> DataFrame:
         ),
     )
     return (
-        df.select(F.inline(flagged))
+        inline_rows(df, [], flagged)
         .groupBy("token")
         .agg(F.sum("opens").alias("df"), F.count(F.lit(1)).alias("cf"))
     )
@@ -78,7 +78,7 @@ def doc2bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, bounded
     known tokens are shuffled. A larger one is joined after the count.
     """
     ids = dictionary.select("token", "token_id")
-    exploded = df.select(key, F.explode(tokens).alias("token"))
+    exploded = explode_rows(df, [key], F.col(tokens), "token")
     if bounded:
         known = exploded.join(F.broadcast(ids), "token")
         return known.groupBy(key, "token_id").agg(F.count(F.lit(1)).alias("cnt"))
@@ -106,7 +106,8 @@ def vectorizer(dictionary: DataFrame, tokens: str, output: str = "features") ->
 
 def only_top_words(df: DataFrame, key: str, tokens: str, listed: DataFrame, output: str) -> DataFrame:
     """Keep only listed tokens, in order, for a list of any size: semi join and re-collection per row."""
-    placed = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    numbered = F.transform(tokens, lambda t, i: F.struct(i.alias("_pos"), t.alias("token")))
+    placed = inline_rows(df, [key], numbered)
     kept = placed.join(listed.select("token"), "token", "left_semi")
     again = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_kept"))
     joined = df.join(again, key, "left")
