@@ -1 +1,213 @@
-"""Queries."""
+"""Queries on topic models, clusters and whole training runs."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from textmill.catalog.registry import query
+from textmill.catalog.relational import documents
+from textmill.catalog.text import tokenized
+from textmill.functions import tokens as tok
+from textmill.operators import clusters, coherence, topics, vocabulary
+from textmill.plans import language, settings, training
+from textmill.sources import registry as model_registry
+from textmill.session import scratch_path
+
+TOPICS = 3
+MODEL = settings.ModelSettings(
+    lda_num_topics_start=TOPICS,
+    lda_num_topics_end=TOPICS + 1,
+    no_above=0.5,
+    no_below=8,
+    keep_n=5000,
+    lda_sample_size=30_000,
+    lda_chunksize=2000,
+    lda_passes=10,
+    max_iterations=10,
+    words_per_topic=10,
+)
+SOURCE = settings.SourceSettings("text", "doc_id", (MODEL,), passthrough=("lang",), collocations=False)
+
+
+def prepared(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "lang", "text")
+    kept = tok.remove_stopwords(tok.tokenize(F.lower("text")), tok.stopwords())
+    return docs.withColumn("stopwords_removed", kept)
+
+
+def trained(spark, sf, k=TOPICS, model_settings=MODEL):
+    corpus = training.build_corpus(prepared(spark, sf), "doc_id", "text", model_settings)
+    return corpus, training.fit(corpus, model_settings, k)
+
+
+def _predict(corpus, model, **settings_):
+    return training.predict(
+        corpus.scope, model, corpus.dictionary, "stopwords_removed", keep=("doc_id", "lang"), **settings_
+    )
+
+
+@query("lda_topics")
+def lda_topics(spark, sf):
+    corpus, model = trained(spark, sf)
+    return training.topic_table(corpus, model, TOPICS, 10)
+
+
+@query("lda_topics_wide")
+def lda_topics_wide(spark, sf):
+    corpus, model = trained(spark, sf)
+    return topics.topic_words_wide(training.topic_table(corpus, model, TOPICS, 10), TOPICS)
+
+
+@query("lda_one_topic")
+def lda_one_topic(spark, sf):
+    corpus, model = trained(spark, sf)
+    return topics.one_topic(training.topic_table(corpus, model, TOPICS, 10), 0, 7)
+
+
+@query("lda_features")
+def lda_features(spark, sf):
+    corpus, model = trained(spark, sf)
+    scored = topics.with_topic_vector(corpus.train, model)
+    return scored.select("doc_id", *[F.col("lda_features")[i].alias(f"topic_{i}") for i in range(TOPICS)])
+
+
+@query("lda_predictions")
+def lda_predictions(spark, sf):
+    corpus, model = trained(spark, sf)
+    names = topics.topic_names(spark, {0: "first", 1: "second"})
+    return _predict(corpus, model, names=names)
+
+
+@query("lda_all_predictions")
+def lda_all_predictions(spark, sf):
+    corpus, model = trained(spark, sf)
+    return _predict(corpus, model, only_best=False, minimum=0.1)
+
+
+@query("lda_language")
+def lda_language(spark, sf):
+    """Languages by topics: how many documents of each known language got each label."""
+    corpus, model = trained(spark, sf, k=4)
+    found = _predict(corpus, model).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = topics.with_label(found, language.languages_of_topics(found, "lang"))
+    return labelled.groupBy("lang", "pred_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("lda_serve")
+def lda_serve(spark, sf):
+    corpus, model = trained(spark, sf)
+    messages = documents(spark, sf).select("doc_id", F.col("text").alias("message"))
+    return training.serve(messages, model, corpus.dictionary, "message", keep=("doc_id",))
+
+
+@query("lda_sweep")
+def lda_sweep(spark, sf):
+    """Perplexity for a range of topic counts over one cached corpus."""
+    corpus, first = trained(spark, sf, k=2)
+    rows = []
+    for k in (2, 3, 4):
+        model = first if k == 2 else training.fit(corpus, MODEL, k)
+        rows.append((k, topics.log_perplexity(model, corpus.train)))
+    return spark.createDataFrame(rows, "lda_num_topics int, log_perplexity double")
+
+
+@query("lda_coherence")
+def lda_coherence(spark, sf):
+    corpus, model = trained(spark, sf)
+    rows = topics.topic_words(
+        model, corpus.dictionary, topics.mean_topic_vector(topics.with_topic_vector(corpus.train, model), "lda_features"), TOPICS, 10
+    ).orderBy("Topic", "Word_Rank").collect()
+    lists = [[r.Word for r in rows if r.Topic == t] for t in range(TOPICS)]
+    return coherence.umass(prepared(spark, sf), "stopwords_removed", lists)
+
+
+@query("run_log")
+def run_log(spark, sf):
+    """A whole run: clean rows stored, models trained and registered, topics and predictions appended."""
+    folder = scratch_path(spark, "run")
+    docs = documents(spark, sf).select("doc_id", "lang", "text")
+    log = training.run(spark, {"documents": SOURCE}, {"documents": docs}, folder)
+    return log.select("source", "scope", "rows", "words_preprocess", "words_postprocess", "lda_num_topics")
+
+
+@query("run_outputs")
+def run_outputs(spark, sf):
+    """Rows of every table that a run appends, by group scope."""
+    folder = scratch_path(spark, "run")
+    docs = documents(spark, sf).select("doc_id", "lang", "text")
+    config = settings.from_nested(
+        {
+            "documents": {
+                "target_column": "text",
+                "target_column_id": "doc_id",
+                "passthrough": ("lang",),
+                "collocations": False,
+                "models": [
+                    {"GroupColumn": "lang", "GroupValue": group, "lda_num_topics_start": 2, "lda_num_topics_end": 3,
+                     "no_below": 5, "no_above": 0.5, "keep_n": 2000, "lda_passes": 5, "lda_chunksize": 2000,
+                     "max_iterations": 5, "words_per_topic": 5}
+                    for group in ("de", "fr")
+                ],
+            }
+        }
+    )
+    training.run(spark, config, {"documents": docs}, folder)
+    written = [
+        spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n")
+        for name in ("clean/source=documents", "topics", "predictions", "log", "model_repository")
+    ]
+    result = written[0]
+    for part in written[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@query("model_registry")
+def model_registry_query(spark, sf):
+    """A model saved, found by its guid and used again: predictions of both agree."""
+    folder = scratch_path(spark, "registry")
+    corpus, model = trained(spark, sf)
+    model_registry.save_model(spark, folder, "guid-1", model, corpus.dictionary, "model_LDA", "all")
+    again, dictionary = model_registry.load_model(spark, folder, "guid-1")
+    before = _predict(corpus, model).select("doc_id", "pred_index")
+    after = training.predict(
+        corpus.scope, again, dictionary, "stopwords_removed", keep=("doc_id",)
+    ).select("doc_id", F.col("pred_index").alias("again"))
+    return before.join(after, "doc_id").select("doc_id", F.col("pred_index").eqNullSafe(F.col("again")).alias("same"))
+
+
+# --- clusters --------------------------------------------------------------------------------
+
+
+def vectors(spark, sf, keep_n=500):
+    docs = tokenized(spark, sf)
+    n_docs = docs.count()
+    dictionary = vocabulary.build_dictionary(docs, "tokens", 5, 0.8, keep_n, keep_tokens=(), n_docs=n_docs)
+    return clusters.tfidf_vectors(docs, "tokens", dictionary.persist(StorageLevel.MEMORY_AND_DISK), n_docs)
+
+
+@query("kmeans_elbow")
+def kmeans_elbow(spark, sf):
+    return clusters.elbow(vectors(spark, sf), (1, 2, 4, 6), max_iterations=10)
+
+
+@query("kmeans_labels")
+def kmeans_labels(spark, sf):
+    made = vectors(spark, sf).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    model = clusters.fit_kmeans(made, 4, max_iterations=10)
+    return model.transform(made).select("doc_id", "cluster")
+
+
+@query("pca_2d")
+def pca_2d(spark, sf):
+    made = vectors(spark, sf, keep_n=200).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    return clusters.two_components(made).select("doc_id", "x", "y")
+
+
+@query(
+    "grid_settings",
+    "SELECT lang, k AS lda_num_topics FROM (SELECT DISTINCT lang FROM documents), (SELECT unnest([3, 6]) AS k)",
+)
+def grid_settings(spark, sf):
+    return settings.group_grid(documents(spark, sf), "lang", range(3, 9, 3))

@@ -21,6 +21,7 @@ from textmill.catalog.sql import (
 )
 from textmill.functions import clean, fixed, html, rulechain, rules, stem
 from textmill.functions import tokens as tok
+from textmill.functions.expressions import explode_rows, inline_rows
 from textmill.operators import eda, ngrams, sentences, vocabulary
 from textmill.operators.shape import shorter_than
 from textmill.sources.tables import text_table
@@ -241,7 +242,7 @@ def space_collapse(spark, sf):
     WHERE regexp_matches(w, '[^\x00-\x7F]') GROUP BY doc_id, w""",
 )
 def non_ascii_words(spark, sf):
-    found = documents(spark, sf).select("doc_id", F.explode(clean.non_ascii_words(F.col("text"))).alias("word"))
+    found = explode_rows(documents(spark, sf), ["doc_id"], clean.non_ascii_words(F.col("text")), "word")
     return found.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -587,8 +588,10 @@ def sentence_rows(source):
 
 @query("sentence_split", f"SELECT doc_id, pos::BIGINT AS pos, sentence FROM {sentence_rows('documents')}")
 def sentence_split(spark, sf):
-    made = documents(spark, sf).select("doc_id", F.posexplode(tok.split_sentences(F.col("text"))).alias("pos", "sentence"))
-    return made.withColumn("pos", F.col("pos").cast("long"))
+    numbered = F.transform(
+        tok.split_sentences(F.col("text")), lambda s, i: F.struct(i.cast("long").alias("pos"), s.alias("sentence"))
+    )
+    return inline_rows(documents(spark, sf), ["doc_id"], numbered)
 
 
 @query("sentences_normalised")

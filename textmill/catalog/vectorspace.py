@@ -8,6 +8,7 @@ from textmill.catalog.registry import query
 from textmill.catalog.relational import documents
 from textmill.catalog.sql import in_list, quoted, tokens
 from textmill.catalog.text import LOWER_TOKENS, tokenized
+from textmill.functions.expressions import explode_rows, inline_rows
 from textmill.operators import coherence, eda, tfidf, topics, vocabulary
 from textmill.plans import language
 from textmill.sources.tables import table
@@ -75,7 +76,7 @@ def vectorized_counts(spark, sf):
     vectors = vocabulary.vectorizer(dictionary(spark, sf), "tokens").transform(tokenized(spark, sf))
     parts = F.unwrap_udt("features")
     pairs = F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))
-    return vectors.select("doc_id", F.inline(pairs)).select(
+    return inline_rows(vectors, ["doc_id"], pairs).select(
         "doc_id", F.col("i").cast("long").alias("token_id"), F.col("v").cast("long").alias("cnt")
     )
 
@@ -241,7 +242,7 @@ def language_gate(spark, sf):
 def topic_words_join(spark, sf):
     """Words of a group joined with the size of the group, as topic words join topic shares."""
     docs = tokenized(spark, sf).join(documents(spark, sf).select("doc_id", "lang"), "doc_id")
-    words = docs.select("lang", F.explode("tokens").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = explode_rows(docs, ["lang"], F.col("tokens"), "word").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     sizes = documents(spark, sf).groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
     return words.join(sizes, "lang").select(
         F.col("lang").alias("topic"), "n_docs", "word", "n", F.round(F.col("n") / F.col("n_docs"), 6).alias("per_doc")

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -93,6 +94,12 @@ def grid(sources: Mapping[object, SourceSettings]) -> Iterator[Run]:
                 yield Run(name, source, model, k)
 
 
+def group_grid(df: DataFrame, group: str, ks: range) -> DataFrame:
+    """(group, lda_num_topics) for every group in the data and every number of topics."""
+    counts = F.array(*[F.lit(k) for k in ks])
+    return df.select(group).distinct().select(group, F.explode(counts).alias("lda_num_topics"))
+
+
 def grid_table(spark: SparkSession, sources: Mapping[object, SourceSettings]) -> DataFrame:
     rows = [
         (str(r.source), r.settings.target_column, r.model.group_column, r.model.group_value, r.topics, r.model.lda_passes)

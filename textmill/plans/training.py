@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.operators import shape, topics, vocabulary
-from textmill.plans.preparation import prepare
+from textmill.plans.preparation import tokenized, with_ngrams, without_stopwords
 from textmill.plans.settings import ModelSettings, SourceSettings
+from textmill.session import scratch_path
 from textmill.sources import files, registry
 
 RUN_LOG = """iteration_guid string, model_guid string, source string, target_column string, target_column_id string,
@@ -114,7 +115,7 @@ def serve(
     n_words: int = 5,
 ) -> DataFrame:
     """Probability, topic and its top words for messages, prepared exactly as the training rows were."""
-    prepared = prepare(messages, "", text, collocations=False, stop=stop)
+    prepared = without_stopwords(with_ngrams(tokenized(messages, text), "", collocations=False), stop)
     found = predict(
         prepared, model, dictionary, "stopwords_removed", keep=keep, names=names, threshold=threshold
     )
@@ -160,17 +161,17 @@ def _store_clean(spark, table, source, path, iteration, stop):
     rows = table.select(*kept)
     if _exists(spark, path):
         rows = shape.without(rows, spark.read.parquet(path), key)
-    prepared = prepare(
+    made = tokenized(
         rows.withColumn("_source_text", F.col(source.target_column)),
-        key,
         "_source_text",
         full_clean=source.full_clean,
-        remove_stopwords=source.remove_stopwords,
         add_features=source.add_features,
-        collocations=source.collocations,
-        stop=stop,
-    ).drop("_source_text")
-    files.append_table(shape.with_constants(prepared, {"iteration_guid": iteration}), path)
+    )
+    if source.collocations:
+        made = files.stored(made, scratch_path(spark, "tokens"))
+    made = with_ngrams(made, key, collocations=source.collocations)
+    made = without_stopwords(made, stop if source.remove_stopwords else ()).drop("_source_text")
+    files.append_table(shape.with_constants(made, {"iteration_guid": iteration}), path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
