@@ -275,7 +275,14 @@ def keyword_replace_messages(spark, sf):
 # --- HTML and long rule chains ---------------------------------------------------------------
 
 
-@query("html_text")
+HTML_SQL = "replace(html, '</p><p>', '</p>.' || chr(10) || '<p>')"
+for _pattern in (r"(?s)<!--.*?-->", r"(?is)<(script|style)\b.*?</(script|style)\s*>", r"(?s)<[A-Za-z/!][^>]*>"):
+    HTML_SQL = replaced(HTML_SQL, _pattern)
+for _entity, _char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    HTML_SQL = f"replace({HTML_SQL}, '&{_entity};', {quoted(_char)})"
+
+
+@query("html_text", f"SELECT page_id, {HTML_SQL} AS text FROM pages")
 def html_text(spark, sf):
     return text_table(spark, sf, "pages").select("page_id", html.html_text(F.col("html")).alias("text"))
 

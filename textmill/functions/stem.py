@@ -12,6 +12,7 @@ _CACHE = 1 << 17
 
 # fixed values: letters and endings of the Danish Snowball algorithm
 _DANISH_VOWELS = "aeiouyæåø"
+_DANISH_DOUBLED = "bcdfghjklmnpqrstvwxz"
 _DANISH_S_BEFORE = "abcdfghjklmnoprtvyzå"
 _DANISH_ENDINGS = (
     "erendes erende hedens ethed erede heden heder endes ernes erens erets ered ende erne eren erer heds enes eres "
@@ -47,15 +48,14 @@ def danish_stem(word: str) -> str:
                 word = word[:-1]
             break
     word = _danish_pair(word, region)
-    if word.endswith("igst"):
+    if word.endswith("igst") and len(word) - 4 >= region:
         word = word[:-2]
     for ending in _DANISH_LAST:
         if word.endswith(ending) and len(word) - len(ending) >= region:
             word = word[:-1] if ending == "løst" else _danish_pair(word[: -len(ending)], region)
             break
-    if len(word) >= region + 1 and len(word) > 1 and word[-1] == word[-2] and word[-1] not in _DANISH_VOWELS:
-        if len(word) - 1 >= region:
-            word = word[:-1]
+    if len(word) > 3 and word[-1] == word[-2] and word[-1] in _DANISH_DOUBLED:
+        word = word[:-1]
     return word
 
 
