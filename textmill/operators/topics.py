@@ -14,6 +14,12 @@ from textmill.functions import vectors
 from textmill.functions.expressions import inline_rows
 
 
+# fixed values: step size (offset + update) ^ -decay of the original trainer; Spark's own offset of 1024
+# learns far too slowly for tens of updates
+LEARNING_OFFSET = 1.0
+LEARNING_DECAY = 0.5
+
+
 def asymmetric_prior(k: int) -> list[float]:
     """Topic weights 1 / (i + sqrt(k)), scaled to sum to 1."""
     raw = [1.0 / (i + math.sqrt(k)) for i in range(k)]
@@ -46,6 +52,8 @@ def train_lda(
         maxIter=min(iterations, max_iterations) if max_iterations else iterations,
         subsamplingRate=min(1.0, chunksize / max(1, n_docs)),
         optimizeDocConcentration=alpha == "auto",
+        learningOffset=LEARNING_OFFSET,
+        learningDecay=LEARNING_DECAY,
         seed=seed,
         featuresCol=features,
         topicDistributionCol="topics",
