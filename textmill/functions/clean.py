@@ -128,8 +128,8 @@ def clean_simple(text: Column) -> Column:
 
 def clean_full(text: Column, mode: str = "sequential") -> Column:
     """All cleaning steps; the three long rule tables run in one Arrow pass."""
-    text = F.lower(html_text(text))
-    text = rule_chain(text, (rules.ABBREVIATIONS, rules.KEY_CONCEPTS, rules.LEMMAS), mode)
+    tables = (rules.ABBREVIATIONS, rules.KEY_CONCEPTS, rules.LEMMAS)
+    text = rule_chain(html_text(text), tables, mode, lower=True)
     text = strip_leading_newline(strip_greeting(strip_leading_newline(text)))
     text = cut_at_sign_off(dots_in_numbers(dots_after_letters(text)))
     text = drop_closing(drop_through_thanks(text))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from textmill.functions.expressions import explode_rows, words
 
+# rows that one task may sort
+ONE_TASK_ROWS = 1_000_000
+
 
 def select_renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Keep the named columns under their new names."""
@@ -51,18 +55,40 @@ def subject_in_first_message(text: Column, subject: Column, is_first: Column) ->
     return F.when(is_first, F.concat(text, F.lit(" "), subject)).otherwise(text)
 
 
-def sample_n(df: DataFrame, n: int | None, key: str, seed: int = 1) -> DataFrame:
-    """Exactly n rows, drawn by the hash order of the key; no n, or more than there are, keeps all."""
+def _hash_order(key: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))))
+
+
+def _hash_bound(share: float) -> str:
+    """The md5 value below which a share of all keys falls."""
+    return format(min(max(int(share * 2**128), 0), 2**128 - 1), "032x")
+
+
+def sample_n(df: DataFrame, n: int | None, key: str, seed: int = 1, rows: int | None = None) -> DataFrame:
+    """Exactly n rows, drawn by the hash order of the key; no n, or more than there are, keeps all.
+
+    On a large table only the narrow band of hashes around the n-th is sorted: what lies below it
+    is taken by a filter. If the band misses the n-th hash, all rows are sorted.
+    """
     if not n or n <= 0:
         return df
-    order = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))))
+    total = df.count() if rows is None else rows
+    if n >= total:
+        return df
+    order = _hash_order(key, seed)
+    if total > ONE_TASK_ROWS:
+        width = 6 * math.sqrt(n) + 10
+        low, high = _hash_bound((n - width) / total), _hash_bound((n + width) / total)
+        below, within = df.agg(F.count_if(order < low), F.count_if((order >= low) & (order < high))).first()
+        if below <= n <= below + within:
+            band = df.filter((order >= low) & (order < high)).orderBy(order, F.col(key)).limit(n - below)
+            return df.filter(order < low).unionByName(band)
     return df.orderBy(order, F.col(key)).limit(n)
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 1) -> DataFrame:
     """A share of the rows by the hash of the key: repeatable, inside each partition."""
-    bound = format(min(int(fraction * 2**128), 2**128 - 1), "032x")
-    return df.filter(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))) < bound)
+    return df if fraction >= 1 else df.filter(_hash_order(key, seed) < _hash_bound(fraction))
 
 
 def without(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

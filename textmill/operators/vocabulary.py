@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from textmill.functions import fixed
 from textmill.functions.expressions import explode_rows, inline_rows, let
 from textmill.operators.ordering import global_running
+from textmill.session import materialise
 
 KEEP_N = 100_000
+# rows that one task may sort
+ONE_TASK_ROWS = 1_000_000
 
 
 def token_statistics(df: DataFrame, tokens: str) -> DataFrame:
@@ -45,12 +48,28 @@ def filter_extremes(
     kept = statistics.filter(
         F.col("df").between(no_below, int(no_above * n_docs)) | F.col("token").isin(list(keep_tokens))
     )
-    return kept if keep_n is None else kept.orderBy(F.desc("df"), "token").limit(keep_n)
+    return kept if keep_n is None else most_frequent(kept, keep_n)
+
+
+def most_frequent(kept: DataFrame, keep_n: int) -> DataFrame:
+    """The `keep_n` tokens with the highest document frequency, ties by token.
+
+    The table is stored first, since every user of a dictionary reads it again. A table too large
+    to sort in one task is ranked by range partitions.
+    """
+    stored = materialise(kept)
+    size = stored.count()
+    if size <= keep_n:
+        return stored
+    order = [F.desc("df"), F.asc("token")]
+    if size <= ONE_TASK_ROWS:
+        return stored.orderBy(*order).limit(keep_n)
+    return global_running(stored, order, rank="_rank").filter(F.col("_rank") <= keep_n).drop("_rank")
 
 
 def with_ids(kept: DataFrame, keep_n: int | None = KEEP_N) -> DataFrame:
     """Dense 0-based ids in token order. The one-task window is used only under a size bound."""
-    if keep_n is not None:
+    if keep_n is not None and keep_n <= KEEP_N:
         return kept.withColumn("token_id", (F.row_number().over(Window.orderBy("token")) - 1).cast("long"))
     ranked = global_running(kept, [F.asc("token")], rank="token_id")
     return ranked.withColumn("token_id", (F.col("token_id") - 1).cast("long"))
@@ -71,13 +90,14 @@ def build_dictionary(
     return with_ids(kept, keep_n).select("token_id", "token", "df", "cf")
 
 
-def doc2bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, bounded: bool = True) -> DataFrame:
+def doc2bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> DataFrame:
     """(key, token_id, cnt); unknown tokens drop out.
 
-    A dictionary of at most KEEP_N tokens (`bounded`) is broadcast before the count, so only
-    known tokens are shuffled. A larger one is joined after the count.
+    A dictionary of at most KEEP_N tokens, which is checked, is broadcast before the count, so
+    only known tokens are shuffled. A larger one is joined after the count.
     """
     ids = dictionary.select("token", "token_id")
+    bounded = ids.limit(KEEP_N + 1).count() <= KEEP_N
     exploded = explode_rows(df, [key], F.col(tokens), "token")
     if bounded:
         known = exploded.join(F.broadcast(ids), "token")
@@ -86,9 +106,9 @@ def doc2bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, bounded
     return counted.join(ids, "token").select(key, "token_id", "cnt")
 
 
-def with_bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame, bounded: bool = True) -> DataFrame:
+def with_bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> DataFrame:
     """Add `bow`, the array of (id, cnt) sorted by id; documents without known tokens get an empty one."""
-    rows = doc2bow(df, key, tokens, dictionary, bounded)
+    rows = doc2bow(df, key, tokens, dictionary)
     listed = rows.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(F.col("token_id").alias("id"), "cnt"))).alias("bow")
     )

@@ -45,7 +45,7 @@ def build_corpus(prepared: DataFrame, key: str, text: str, settings: ModelSettin
     wanted = settings.lda_sample_size
     sample = rows if not wanted or wanted > rows else wanted
     tokens = settings.predict_by_column
-    train = scope if sample == rows else shape.sample_n(scope, sample, key, settings.random_state)
+    train = scope if sample == rows else shape.sample_n(scope, sample, key, settings.random_state, rows)
     statistics = vocabulary.token_statistics(train, tokens).persist(StorageLevel.MEMORY_AND_DISK)
     before = statistics.count()
     kept = vocabulary.filter_extremes(statistics, sample, settings.no_below, settings.no_above, settings.keep_n)
