@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from textmill.catalog.registry import query
@@ -267,7 +269,18 @@ def keyword_replace(spark, sf):
     return documents(spark, sf).select("doc_id", clean.replace_keywords(F.col("text"), KEYWORDS).alias("text"))
 
 
-@query("keyword_replace_messages")
+KEYWORD_SQL = "lower(text)"
+for _term, _pattern in (
+    ("hej", r"(?i)\bhej[,.]\B"),
+    ("jeg_har", r"(?i)\bjeg har\b"),
+    ("jobnet_dk", r"(?i)\bjobnet\b"),
+    ("planlægge", r"(?i)\b(?:planlægger|planlagt)\b"),
+    ("supplerende_dagpenge", r"(?i)\bsupplerende dagpenge\b"),
+):
+    KEYWORD_SQL = replaced(KEYWORD_SQL, _pattern, _term)
+
+
+@query("keyword_replace_messages", f"SELECT doc_id, {KEYWORD_SQL} AS text FROM {LETTERS}")
 def keyword_replace_messages(spark, sf):
     return letters(spark, sf).select("doc_id", clean.replace_keywords(F.lower("text")).alias("text"))
 
@@ -321,8 +334,52 @@ def rule_chain_plain(spark, sf):
     return letters(spark, sf).select("doc_id", rulechain.rule_chain(F.lower("text"), (PLAIN_RULES,)).alias("text"))
 
 
+MARK = "\x02"
+DELIMITER = r"[\s\p{Z}\x0b\x1c-\x1f\x{85},.]"
+AHEAD = r"(?=[\s,\.])"
+
+
+def marked_rule(expression, pattern, replacement):
+    """A rule with look-ahead for text in which a mark follows every delimiter.
+
+    The delimiter that is looked at is matched and put back, and the mark after it is left for the
+    boundary of the next match.
+    """
+    before, body = "", pattern
+    if body.startswith(r"\b"):
+        before, body = r"(^|[^\p{L}\p{N}_])", body[2:]
+    elif body.startswith(r"(?<=([0-9])\s)"):
+        before, body = f"([0-9]{SPACE}{MARK})", body.removeprefix(r"(?<=([0-9])\s)")
+    elif body.startswith(r"(?<=([0-9]))"):
+        before, body = "([0-9])", body.removeprefix(r"(?<=([0-9]))")
+    ahead = body.endswith(AHEAD)
+    body = body.removesuffix(AHEAD)
+    body = re.sub(r"\((?!\?)", "(?:", body)
+    body = body.replace(r"\.", r"[.]" + MARK).replace(",", "," + MARK).replace(" ", " " + MARK)
+    body = body.replace(r"\s", SPACE + MARK).replace(r"\w", WORD)
+    groups = [g for g in (before, f"({DELIMITER})" if ahead else "") if g]
+    put_back = [f"\\{i + 1}" for i in range(len(groups))]
+    new = re.sub(r"([ ,.])", r"\1" + MARK, replacement)
+    start, end = (put_back[0] if before else ""), (put_back[-1] if ahead else "")
+    return replaced(expression, f"{before}(?:{body}){groups[-1] if ahead else ''}", start + new + end)
+
+
+def marked_sql(expression, rows):
+    expression = replaced(expression, f"({DELIMITER})", r"\1" + MARK)
+    for pattern, replacement in rows:
+        expression = marked_rule(expression, pattern, replacement)
+    return f"replace({expression}, chr(2), '')"
+
+
+def with_ahead_only(rows):
+    return tuple((p, r) for p, r in rows if "(?!" not in p and not (AHEAD in p and not p.endswith(AHEAD)))
+
+
 def _one_table(name, rows):
-    @query(f"rules_{name}")
+    expressible = with_ahead_only(rows) == rows
+    sql = f"SELECT doc_id, {marked_sql('lower(text)', rows)} AS text FROM {LETTERS}"
+
+    @query(f"rules_{name}", sql if expressible else None)
     def run(spark, sf):
         return letters(spark, sf).select("doc_id", rulechain.rule_chain(F.lower("text"), (rows,)).alias("text"))
 
@@ -332,6 +389,13 @@ def _one_table(name, rows):
 for _name in ("abbreviations", "key_concepts", "lemmas"):
     _one_table(_name, rules.RULE_SETS[_name])
 
+CONCEPTS = with_ahead_only(rules.KEY_CONCEPTS)
+
+
+@query("rules_key_concepts_ahead", f"SELECT doc_id, {marked_sql('lower(text)', CONCEPTS)} AS text FROM {LETTERS}")
+def rules_key_concepts_ahead(spark, sf):
+    return letters(spark, sf).select("doc_id", rulechain.rule_chain(F.lower("text"), (CONCEPTS,)).alias("text"))
+
 
 @query("rule_clean_full")
 def rule_clean_full(spark, sf):
