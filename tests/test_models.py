@@ -130,7 +130,22 @@ def test_run_appends_and_skips_stored_rows(spark, tmp_path):
     assert registry.models(spark, str(tmp_path)).count() == 8
 
 
+def test_empty_dictionary_is_reported(planted):
+    with pytest.raises(ValueError, match="no token"):
+        training.build_corpus(planted, "id", "body", settings.ModelSettings(no_below=1000))
+
+
+def test_published_predictions(spark, planted, fitted):
+    corpus, model = fitted
+    found = training.predict(planted, model, corpus.dictionary, "stopwords_removed", keep=("id", "grp"))
+    training.publish(found, "topic_predictions")
+    query = "SELECT count(*) AS n FROM topic_predictions WHERE grp = :grp"
+    assert spark.sql(query, args={"grp": "a"}).first().n == 50
+
+
 def test_settings():
+    longest = settings.SourceSettings("a", "b", (settings.ModelSettings(), settings.ModelSettings(n_gram=2)))
+    assert longest.n_gram == 2
     with pytest.raises(ValueError):
         settings.from_nested({"s": {"target_column": "a", "target_column_id": "b", "models": [{"Tests": 1}]}})
     config = settings.from_nested(

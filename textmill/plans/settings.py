@@ -45,6 +45,7 @@ class SourceSettings:
     target_column: str
     target_column_id: str
     models: tuple[ModelSettings, ...]
+    query: str | None = None
     passthrough: tuple[str, ...] = ()
     remove_stopwords: bool = True
     add_features: bool = False
@@ -52,6 +53,11 @@ class SourceSettings:
     full_clean: bool = False
     only_best: bool = True
 
+    @property
+    def n_gram(self) -> int:
+        """Texts are prepared once per source, for the longest runs that one of its models asks for."""
+        return max((m.n_gram for m in self.models), default=1)
+
 
 # fixed values: names of the settings in a nested configuration
 NESTED_NAMES = {"GroupColumn": "group_column", "GroupValue": "group_value"}

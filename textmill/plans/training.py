@@ -16,7 +16,7 @@ from textmill.operators import shape, topics, vocabulary
 from textmill.plans.preparation import tokenized, with_ngrams, without_stopwords
 from textmill.plans.settings import ModelSettings, SourceSettings
 from textmill.session import scratch_path
-from textmill.sources import files, registry
+from textmill.sources import files, registry, tables
 
 RUN_LOG = """iteration_guid string, model_guid string, source string, target_column string, target_column_id string,
 group_column string, group_value string, scope string, identifier string, predict_by_column string, n_gram int,
@@ -52,6 +52,8 @@ def build_corpus(prepared: DataFrame, key: str, text: str, settings: ModelSettin
     dictionary = vocabulary.with_ids(kept, settings.keep_n).select("token_id", "token", "df", "cf")
     dictionary = dictionary.persist(StorageLevel.MEMORY_AND_DISK)
     after = dictionary.count()
+    if after == 0:
+        raise ValueError(f"no token of {rows} rows is within no_below={settings.no_below} and no_above={settings.no_above}")
     statistics.unpersist()
     vectors = vocabulary.vectorizer(dictionary, tokens).transform(train).select(key, "features")
     return Corpus(scope, vectors.persist(StorageLevel.MEMORY_AND_DISK), dictionary, rows, sample, before, after)
@@ -133,7 +135,7 @@ def serve(
 def run(
     spark: SparkSession,
     sources: Mapping[object, SourceSettings],
-    tables: Mapping[object, DataFrame],
+    inputs: Mapping[object, DataFrame],
     folder: str,
     stop=None,
 ) -> DataFrame:
@@ -145,7 +147,7 @@ def run(
     iteration = str(uuid.uuid4())
     for name, source in sources.items():
         clean_path = f"{folder}/clean/source={name}"
-        _store_clean(spark, tables[name], source, clean_path, iteration, stop)
+        _store_clean(spark, inputs[name], source, clean_path, iteration, stop)
         prepared = spark.read.parquet(clean_path)
         for settings in source.models:
             corpus = build_corpus(prepared, source.target_column_id, source.target_column, settings)
@@ -156,6 +158,16 @@ def run(
     return spark.read.schema(RUN_LOG).parquet(f"{folder}/log").filter(F.col("iteration_guid") == iteration)
 
 
+def read_sources(spark: SparkSession, sources: Mapping[object, SourceSettings], **jdbc) -> dict[object, DataFrame]:
+    """The tables of all sources that have a query, over one JDBC connection setting."""
+    return {name: tables.read_jdbc(spark, query=s.query, **jdbc) for name, s in sources.items() if s.query}
+
+
+def publish(predictions: DataFrame, view: str) -> None:
+    """Make predictions available to SQL under a view name."""
+    predictions.createOrReplaceTempView(view)
+
+
 def _store_clean(spark, table, source, path, iteration, stop):
     key, kept = source.target_column_id, (source.target_column_id, source.target_column, *source.passthrough)
     rows = table.select(*kept)
@@ -164,6 +176,7 @@ def _store_clean(spark, table, source, path, iteration, stop):
     made = tokenized(
         rows.withColumn("_source_text", F.col(source.target_column)),
         "_source_text",
+        n_gram=source.n_gram,
         full_clean=source.full_clean,
         add_features=source.add_features,
     )
