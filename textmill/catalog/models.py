@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from textmill.catalog.registry import query
 from textmill.catalog.relational import documents
-from textmill.catalog.text import tokenized
+from textmill.catalog.sql import in_list, tokens
+from textmill.catalog.text import simple_clean_sql, tokenized
 from textmill.functions import tokens as tok
 from textmill.operators import clusters, coherence, topics, vocabulary
 from textmill.plans import language, settings, training
@@ -122,7 +123,18 @@ def lda_coherence(spark, sf):
     return coherence.umass(prepared(spark, sf), "stopwords_removed", lists)
 
 
-@query("run_log")
+RUN_TOKENS = f"""t AS (SELECT doc_id, token FROM (SELECT doc_id, unnest({tokens('text')}) AS token
+    FROM ({simple_clean_sql('documents')})) WHERE token NOT IN {in_list(tok.stopwords())}),
+    s AS (SELECT token, count(DISTINCT doc_id) AS df FROM t GROUP BY token)"""
+
+
+@query(
+    "run_log",
+    f"""WITH {RUN_TOKENS} SELECT 'documents' AS source, 'Target_text_Group-None_Topics_3' AS scope,
+    (SELECT count(*) FROM documents) AS rows, (SELECT count(*) FROM s) AS words_preprocess,
+    (SELECT least(count(*), 5000) FROM s WHERE (df >= 8 AND df <= floor(0.5 * (SELECT count(*) FROM documents))) OR token = '?')
+    AS words_postprocess, 3 AS lda_num_topics""",
+)
 def run_log(spark, sf):
     """A whole run: clean rows stored, models trained and registered, topics and predictions appended."""
     folder = scratch_path(spark, "run")
@@ -131,7 +143,12 @@ def run_log(spark, sf):
     return log.select("source", "scope", "rows", "words_preprocess", "words_postprocess", "lda_num_topics")
 
 
-@query("run_outputs")
+@query(
+    "run_outputs",
+    """SELECT 'clean/source=documents' AS "table", count(*) AS n FROM documents UNION ALL SELECT 'topics', 20
+    UNION ALL SELECT 'predictions', count(*) FROM documents WHERE regexp_matches(lang, 'de') OR regexp_matches(lang, 'fr')
+    UNION ALL SELECT 'log', 2 UNION ALL SELECT 'model_repository', 2""",
+)
 def run_outputs(spark, sf):
     """Rows of every table that a run appends, by group scope."""
     folder = scratch_path(spark, "run")
@@ -163,7 +180,7 @@ def run_outputs(spark, sf):
     return result
 
 
-@query("model_registry")
+@query("model_registry", "SELECT doc_id, true AS same FROM documents")
 def model_registry_query(spark, sf):
     """A model saved, found by its guid and used again: predictions of both agree."""
     folder = scratch_path(spark, "registry")

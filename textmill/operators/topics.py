@@ -153,5 +153,5 @@ def distribution_series(means: DataFrame, n_top: int = 5) -> DataFrame:
 
 
 def log_perplexity(model: LDAModel, df: DataFrame) -> float:
-    """Per-word bound; higher is better (the sign of the reference library)."""
+    """Per-word bound; higher is better (Spark reports it with the other sign)."""
     return -model.logPerplexity(df)
