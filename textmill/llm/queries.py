@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import mixing, sharding
+from textmill.llm import minhash, mixing, sharding
 from textmill.llm.common import table
 from textmill.llm.sql import OP9_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles are similar by 85 % or more."""
+    return minhash.duplicate_groups(table(spark, folder, "documents"), size=3, parts=85, whole=100)
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """40 shards of equal counts, each with the mixture of sources."""
     return sharding.interleaved_shards(table(spark, folder, "documents"), shards=40).select(
@@ -35,6 +40,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash": op1_minhash,
     "op3_sharding": op3_sharding,
     "op9_mixing": op9_mixing,
 }
