@@ -1,13 +1,14 @@
 """Components of similar items from hash buckets, without pairing the members of a bucket with each other.
 
-Items that share a bucket are candidates. A bucket of m members has m^2 / 2 pairs, so the search goes by rounds and never asks
+Items that share a bucket are candidates. A bucket of m members has m^2 / 2 pairs, so the search goes in two rounds and never asks
 about two items that are already in one component:
 
 1. Each bucket is compared with its hub, the member with the largest buckets altogether. The text that others were edited from
    collides with most of them and so becomes the hub. This costs at most one pair for a member and bucket.
-2. Buckets that still hold several components compare the members outside their largest component with the others, block by
-   block, on signatures; the best few estimates for each go on to the exact test.
-3. The same without a limit on the number: all pairs of different components whose estimate does not exclude a link.
+2. In buckets that still hold several components, the members outside their largest component are compared with the others, block by
+   block: on signatures first, then, within the same block, on full sets. A pair is looked at in the first band that it shares,
+   and a member asks another component only until it finds one link to it. Blocks put out links, not candidates, and a text goes
+   to a block, not to a pair.
 
 So no link between components is missed among items that share a bucket, up to the error of the estimate, which is set at
 4.5 standard deviations below the threshold. Rounds work on tables below the shared folder.
@@ -29,8 +30,8 @@ from textmill.llm.common import stored
 from textmill.llm.components import components
 
 #: members of one bucket on either side of a block
-BLOCK = 1024
-BEST = 8
+BLOCK = 512
+KEYS = ["key", "part", "other_part"]
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,12 @@ class Threshold:
 
     parts: int
     whole: int
-    minima: int
+    bands: int
+    rows: int
+
+    @property
+    def minima(self) -> int:
+        return self.bands * self.rows
 
     @property
     def least_agreeing(self) -> int:
@@ -64,13 +70,14 @@ def _likely(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                agreeing = (_matrix(batch["hub_sig"]) == _matrix(batch["sig"])).sum(axis=1)
+                k = threshold.minima
+                agreeing = (_matrix(batch["hub_sig"])[:, :k] == _matrix(batch["sig"])[:, :k]).sum(axis=1)
                 yield batch.filter(pa.array(agreeing >= threshold.least_agreeing)).select(["hub", "id"])
 
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with equal keys of a sorted stream; a run is held whole, so it must be bounded."""
     held: list[pa.RecordBatch] = []
     last = None
@@ -90,32 +97,77 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _blocks(threshold: Threshold, best: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+class _Block:
+    """One side of a block, and which of its members another one may be linked with."""
+
+    def __init__(self, threshold: Threshold, band: int, rows: pa.Table) -> None:
+        self.threshold, self.band = threshold, band
+        self.ids, self.labels, self.sizes, self.main = (rows[c].to_numpy() for c in ("id", "label", "n", "main"))
+        sigs = _matrix(rows["sig"])
+        self.minima = sigs[:, : threshold.minima]
+        self.tags = np.ascontiguousarray(sigs[:, threshold.minima :]).view(np.uint32)
+
+    def likely(self, other: _Block, i: int) -> np.ndarray:
+        """Members of the other side that item i may have a link with, best estimates first."""
+        t = self.threshold
+        fit = np.flatnonzero(
+            (other.labels != self.labels[i])
+            & ((other.labels == other.main) | (other.ids > self.ids[i]))
+            & (np.minimum(other.sizes, self.sizes[i]) * t.whole >= t.parts * np.maximum(other.sizes, self.sizes[i]))
+        )
+        agreeing = (other.minima[fit] == self.minima[i]).sum(axis=1)
+        likely = agreeing >= t.least_agreeing
+        fit, agreeing = fit[likely], agreeing[likely]
+        first = (other.tags[fit] == self.tags[i]).argmax(axis=1) == self.band
+        return fit[first][np.argsort(-agreeing[first], kind="stable")]
+
+
+def _asked(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each block the rows that take part in any likely pair."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hubs, ids = [], []
-        for group in _groups(batches, ["key", "part", "other_part"]):
+        for group in runs_of(batches, KEYS):
             outside = group["outside"].to_numpy().astype(bool)
             if outside.all() or not outside.any():
                 continue
-            names, labels, sizes = (group[c].to_numpy() for c in ("id", "label", "n"))
-            sigs = _matrix(group["sig"])
-            others = np.flatnonzero(~outside)
-            for i in np.flatnonzero(outside):
-                fit = others[labels[others] != labels[i]]
-                low, high = np.minimum(sizes[fit], sizes[i]), np.maximum(sizes[fit], sizes[i])
-                fit = fit[low * threshold.whole >= threshold.parts * high]
-                agreeing = (sigs[fit] == sigs[i]).sum(axis=1)
-                likely = agreeing >= threshold.least_agreeing
-                fit, agreeing = fit[likely], agreeing[likely]
-                if best is not None and len(fit) > best:
-                    fit = fit[np.lexsort((names[fit], -agreeing))[:best]]
-                hubs.extend(names[fit].tolist())
-                ids.extend([int(names[i])] * len(fit))
-            if len(hubs) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(ids, pa.int64())], ["hub", "id"])
-                hubs, ids = [], []
-        if hubs:
-            yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(ids, pa.int64())], ["hub", "id"])
+            band = group["band"][0].as_py()
+            rest = _Block(threshold, band, group.filter(pa.array(outside)))
+            others = _Block(threshold, band, group.filter(pa.array(~outside)))
+            asks, asked = np.zeros(len(rest.ids), bool), np.zeros(len(others.ids), bool)
+            for i in range(len(rest.ids)):
+                found = rest.likely(others, i)
+                asks[i] = len(found) > 0
+                asked[found] = True
+            if asks.any():
+                keep = np.zeros(len(outside), bool)
+                keep[np.flatnonzero(outside)[asks]] = True
+                keep[np.flatnonzero(~outside)[asked]] = True
+                yield from group.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return run
+
+
+def _block_links(threshold: Threshold, sets: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Exact links of each block; the sets of one side are held, the other side goes by one at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs_of(batches, KEYS):
+            outside = group["outside"].to_numpy().astype(bool)
+            if outside.all() or not outside.any():
+                continue
+            band = group["band"][0].as_py()
+            asking, answering = group.filter(pa.array(outside)), group.filter(pa.array(~outside))
+            rest, others = _Block(threshold, band, asking), _Block(threshold, band, answering)
+            held = list(sets(shingles.text_bytes(answering["text"])))
+            out: tuple[list[int], list[int]] = ([], [])
+            for i, own in enumerate(sets(shingles.text_bytes(asking["text"]))):
+                joined = set()
+                for j in rest.likely(others, i).tolist():
+                    if others.labels[j] not in joined and threshold.met(held[j], own):
+                        joined.add(others.labels[j])
+                        out[0].append(int(others.ids[j]))
+                        out[1].append(int(rest.ids[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["hub", "id"])
 
     return run
 
@@ -173,15 +225,18 @@ def _open_blocks(shared: DataFrame, labels: DataFrame | None, sigs: DataFrame) -
     other_parts = F.ceil(F.col("all") / BLOCK)
     own = F.xxhash64("id")
     steps = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
-    keep = ["key", "id", "label", "n", "sig"]
+    keep = ["key", "band", "id", "label", "main", "n", "sig"]
     outside = rows.filter(F.col("label") != F.col("main")).select(
         *keep, F.lit(1).alias("outside"), F.pmod(own, parts).cast("int").alias("part"), steps(other_parts).alias("other_part")
     )
     others = rows.select(
         *keep, F.lit(0).alias("outside"), steps(parts).alias("part"), F.pmod(own, other_parts).cast("int").alias("other_part")
     )
-    keys = ["key", "part", "other_part"]
-    return outside.union(others).repartition(*keys).sortWithinPartitions(*keys)
+    return outside.union(others)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS)
 
 
 def similar_components(
@@ -189,7 +244,7 @@ def similar_components(
 ) -> DataFrame | None:
     """(id, component) of all items with a link; None if there is none.
 
-    buckets: (key, id), a row for each band of an item, repeats allowed. sigs: (id, n, sig), one row for an item. texts: from a
+    buckets: (band, key, id), a row for each band of an item, repeats allowed. sigs: (id, n, sig), one row for an item. texts: from a
     table of ids to (id, text).
     """
     many = (
@@ -198,8 +253,8 @@ def similar_components(
         .filter(F.col("low") != F.col("high"))
         .select("key")
     )
-    shared = stored(buckets.join(many, "key").distinct(), "shared")
-    ids = stored(shared.groupBy("id").agg(F.count(F.lit(1)).alias("bands")).select("id"), "candidates")
+    shared = stored(buckets.join(many, "key").select("key", "band", "id").distinct(), "shared")
+    ids = stored(shared.select("id").distinct(), "candidates")
     sigs = stored(sigs.join(ids, "id"), "signatures")
     texts = stored(texts(ids), "texts")
     sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
@@ -211,18 +266,11 @@ def similar_components(
     )
     fitting = both.filter(F.least("n", "hub_n") * threshold.whole >= F.greatest("n", "hub_n") * threshold.parts)
     likely = fitting.select("hub", "id", "hub_sig", "sig").mapInArrow(_likely(threshold), "hub long, id long")
-    asked = stored(likely, "asked")
-    labels = _merged(None, exact_links(asked, texts, threshold, sets))
-    for best in (BEST, None):
-        found = _open_blocks(shared, labels, sigs).mapInArrow(_blocks(threshold, best), "hub long, id long")
-        fresh = found.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")).distinct()
-        known = asked.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id"))
-        fresh = stored(fresh.join(known, ["hub", "id"], "left_anti"), "asked")
-        if fresh.isEmpty():
-            break
-        labels = _merged(labels, exact_links(fresh, texts, threshold, sets))
-        asked = asked.union(fresh)
-    return labels
+    labels = _merged(None, exact_links(stored(likely, "asked"), texts, threshold, sets))
+    rows = _open_blocks(shared, labels, sigs)
+    asked = stored(_placed(rows).mapInArrow(_asked(threshold), rows.schema), "blocks")
+    found = _placed(asked.join(texts, "id")).mapInArrow(_block_links(threshold, sets), "hub long, id long")
+    return _merged(labels, found.distinct())
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:

@@ -117,26 +117,33 @@ def word_sets(texts: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, U)
 
 
-def char_sets(lines: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
-    """The same over runs of `size` bytes of each line."""
-    for first, last in slices(lines):
-        for raw, bounds in _chars_of(lines[first:last]):
-            sums = prefix_hashes(raw)
-            down = powers(len(raw) + 1)[1]
-            whole = len(raw) - size + 1
-            runs = mix((sums[size:] - sums[:-size]) * down[:whole]) if whole > 0 else sums[:0]
-            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-                if end - start >= size:
-                    yield np.unique(runs[start : end - size + 1])
-                elif end > start:
-                    yield mix((sums[end : end + 1] - sums[start : start + 1]) * down[start] + constants(size, 5)[end - start - 1])
-                else:
-                    yield sums[:0]
+def char_windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of runs of `size` bytes, A-Z in lower case, and for each non-empty part the ends of its window of hashes.
+
+    A window starts at its part's start. A part shorter than a run has one hash, of the whole.
+    """
+    sums = prefix_hashes(lowered(raw))
+    down = powers(len(raw) + 1)[1]
+    runs = np.zeros(len(raw) + 1, U)
+    whole = max(len(raw) - size + 1, 0)
+    runs[:whole] = mix((sums[size : size + whole] - sums[:whole]) * down[:whole])
+    few = ends - starts < size
+    if few.any():
+        first, last = starts[few], ends[few]
+        runs[first] = mix((sums[last] - sums[first]) * down[first] + constants(size, 5)[last - first - 1])
+    return runs, np.maximum(ends - size + 1, starts + 1)
 
 
-def _chars_of(lines: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    bounds = np.concatenate(([0], np.cumsum(np.fromiter((len(x) for x in lines), np.int64, len(lines)))))
-    yield np.frombuffer(b"".join(lines), np.uint8), bounds
+def char_sets(lines: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
+    """The sorted distinct hashes of runs of `size` bytes of each line; an empty line has none."""
+    for first, last in slices(lines):
+        part = lines[first:last]
+        bounds = np.concatenate(([0], np.cumsum(np.fromiter((len(x) for x in part), np.int64, len(part)))))
+        full = np.flatnonzero(bounds[1:] > bounds[:-1])
+        runs, stops = char_windows(np.frombuffer(b"".join(part), np.uint8), bounds[full], bounds[full + 1], size)
+        at = dict(zip(full.tolist(), stops.tolist(), strict=True))
+        for i in range(len(part)):
+            yield np.unique(runs[bounds[i] : at[i]]) if i in at else runs[:0]
 
 
 class Minima:
@@ -149,25 +156,38 @@ class Minima:
         self.names = constants(bands, seed + 3)
 
     def of(self, sets: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Of non-empty sets: a 64-bit key for each band, and one byte of each minimum."""
-        least = np.empty((len(sets), self.bands * self.rows), U)
+        """Of non-empty sets: a 64-bit key for each band; one byte of each minimum and four of each key as a signature."""
+        least = np.empty((len(sets), len(self.factors)), U)
         start = 0
         while start < len(sets):
             end, held = start, 0
             while end < len(sets) and (end == start or held + len(sets[end]) <= 1 << 15):
                 held += len(sets[end])
                 end += 1
-            values = np.concatenate(sets[start:end])
             bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets[start : end - 1]], dtype=np.int64)))
-            work = np.empty_like(values)
-            for i in range(least.shape[1]):
-                np.multiply(values, self.factors[i], out=work)
-                np.add(work, self.shifts[i], out=work)
-                least[start:end, i] = np.minimum.reduceat(work, bounds)
+            self._least(np.concatenate(sets[start:end]), bounds, least[start:end])
             start = end
+        return self._banded(least)
+
+    def of_windows(self, values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of windows of an array that ends with a spare value."""
+        bounds = np.stack([starts, stops], axis=1).ravel()
+        least = np.empty((len(bounds), len(self.factors)), U)
+        self._least(values, bounds, least)
+        return self._banded(least[::2].copy())
+
+    def _least(self, values: np.ndarray, bounds: np.ndarray, out: np.ndarray) -> None:
+        work = np.empty_like(values)
+        for i in range(len(self.factors)):
+            np.multiply(values, self.factors[i], out=work)
+            np.add(work, self.shifts[i], out=work)
+            out[:, i] = np.minimum.reduceat(work, bounds)
+
+    def _banded(self, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         least = mix(least)
-        keys = mix((least.reshape(len(sets), self.bands, self.rows) * self.keys).sum(axis=2, dtype=U) + self.names)
-        return keys.view(np.int64), (least & U(0xFF)).astype(np.uint8)
+        keys = mix((least.reshape(len(least), self.bands, self.rows) * self.keys).sum(axis=2, dtype=U) + self.names)
+        tags = (keys & U(0xFFFFFFFF)).astype(np.uint32)
+        return keys.view(np.int64), np.hstack([(least & U(0xFF)).astype(np.uint8), tags.view(np.uint8)])
 
 
 def shared(one: np.ndarray, other: np.ndarray) -> int:
