@@ -220,7 +220,7 @@ def _open_blocks(shared: DataFrame, labels: DataFrame | None, sigs: DataFrame) -
         .filter(F.col("labels") > 1)
         .select("key", F.col("top.label").alias("main"), "all", (F.col("all") - F.col("top.m")).alias("rest"))
     )
-    rows = rows.join(main, "key").join(sigs, "id")
+    rows = rows.join(stored(main, "open"), "key").join(sigs, "id")
     parts = F.ceil(F.col("rest") / BLOCK)
     other_parts = F.ceil(F.col("all") / BLOCK)
     own = F.xxhash64("id")
@@ -247,19 +247,17 @@ def similar_components(
     buckets: (band, key, id), a row for each band of an item, repeats allowed. sigs: (id, n, sig), one row for an item. texts: from a
     table of ids to (id, text).
     """
-    many = (
-        buckets.groupBy("key")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("key")
-    )
+    # what is joined with a hot key's rows is stored first, so that the join alone deals them and its skew can be split
+    many = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    many = stored(many.filter(F.col("low") != F.col("high")).select("key"), "many")
     shared = stored(buckets.join(many, "key").select("key", "band", "id").distinct(), "shared")
     ids = stored(shared.select("id").distinct(), "candidates")
     sigs = stored(sigs.join(ids, "id"), "signatures")
     texts = stored(texts(ids), "texts")
-    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    sizes = stored(shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "sizes")
     degrees = shared.join(sizes, "key").groupBy("id").agg(F.sum("m").alias("degree"))
     hubs = shared.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", -F.col("id"), "id")).getField("id").alias("hub"))
+    hubs = stored(hubs, "hubs")
     pairs = shared.join(hubs, "key").filter(F.col("hub") != F.col("id")).select("hub", "id").distinct()
     both = pairs.join(sigs.select("id", "sig", "n"), "id").join(
         sigs.select(F.col("id").alias("hub"), F.col("sig").alias("hub_sig"), F.col("n").alias("hub_n")), "hub"

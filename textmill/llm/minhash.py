@@ -7,8 +7,8 @@ alternating large-star and small-star.
 
 Cases: null and empty texts and texts without words have no shingles, link with nothing and are kept; fewer words than a
 shingle make one shingle of the whole sequence; very long texts are hashed piece by piece; an id names one text, so of several texts
-with one id only one is compared beyond equality; a null id links with nothing and is kept; an empty table gives an empty result; other columns are ignored by
-`duplicate_groups` and kept by `deduplicated`, which drops repeated rows of a kept document.
+with one id only one is compared beyond equality; a null id links with nothing and is kept; an empty table gives an empty result;
+other columns are ignored by `duplicate_groups` and kept by `deduplicated`, which drops repeated rows of a kept document.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def duplicate_groups(docs: DataFrame, size: int = 5, parts: int = 80, whole: int
     signed = stored(texts.mapInArrow(_signed(size, BANDS, ROWS), schema), "minhash")
     same = ["n", "d1", "d2"]
     linked = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    firsts = linked.groupBy(*same).agg(F.min("doc_id").alias("first"))
+    firsts = stored(linked.groupBy(*same).agg(F.min("doc_id").alias("first")), "firsts")
     members = stored(signed.select("doc_id", *same).join(firsts, same, "left"), "equal_sets")
     chosen = members.filter(F.col("doc_id") == F.col("first")).select("doc_id", *same).distinct()
     chosen = linked.join(chosen, ["doc_id", *same], "left_semi").withColumnRenamed("doc_id", "id")

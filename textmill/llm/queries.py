@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import minhash, mixing, sharding
+from textmill.llm import licences, linededup, minhash, mixing, packing, pii, sharding, topk, toxicity, vectors
 from textmill.llm.common import table
-from textmill.llm.sql import OP9_SQL
+from textmill.llm.sql import OP8_SQL, OP9_SQL, OP10_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,12 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.duplicate_groups(table(spark, folder, "documents"), size=3, parts=85, whole=100)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """40 shards of equal counts, each with the mixture of sources."""
     return sharding.interleaved_shards(table(spark, folder, "documents"), shards=40).select(
@@ -32,6 +38,31 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences that a document is or holds as a whole paragraph or line."""
+    return licences.scanned(table(spark, folder, "documents"))
+
+
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with pseudonyms for personal data, and the number of values replaced."""
+    return pii.pseudonymised(table(spark, folder, "documents")).select("doc_id", "text", "n_values")
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Bins of 2048 words without two pieces of a source or of a duplicate cluster."""
+    return packing.packed(table(spark, folder, "documents"))
+
+
+def op7_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document that go because a similar line stays elsewhere."""
+    return linededup.decisions(table(spark, folder, "documents"))
+
+
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 highest scores of every vector whose id is divisible by 20."""
+    return topk.top_scores(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mixture takes of every document."""
     return mixing.decisions(table(spark, folder, "documents")).select(
@@ -39,9 +70,21 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of vectors with a cosine of 0.9 or more."""
+    return vectors.duplicate_groups(table(spark, folder, "embeddings"), least=0.9)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
+    "op2_toxicity": op2_toxicity,
     "op3_sharding": op3_sharding,
+    "op4_licences": op4_licences,
+    "op5_pii": op5_pii,
+    "op6_packing": op6_packing,
+    "op7_linededup": op7_linededup,
+    "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
+    "op10_vectors": op10_vectors,
 }
-ORACLES: dict[str, str] = {"op9_mixing": OP9_SQL}
+ORACLES: dict[str, str] = {"op8_topk": OP8_SQL, "op9_mixing": OP9_SQL, "op10_vectors": OP10_SQL}

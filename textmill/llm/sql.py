@@ -32,3 +32,34 @@ SELECT doc_id, size, source_size, target,
   CAST(size * (floor(rate) + CASE WHEN unit < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM rated
 """
+
+_USABLE = """embedding IS NOT NULL AND len(embedding) > 0 AND
+    list_sum(list_transform(embedding, lambda x: CASE WHEN isfinite(x) THEN 0 ELSE 1 END)) = 0 AND
+    len(list_filter(embedding, lambda x: x IS NULL)) = 0"""
+
+OP8_SQL = f"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE {_USABLE}
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+OP10_SQL = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), groups AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT e.vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS BIGINT) AS n_links, g.component_id,
+  e.vec_id = g.component_id AS kept
+FROM embeddings e JOIN groups g USING (vec_id)
+"""
