@@ -7,13 +7,13 @@ The grammar is a composition of small transducers over the tokens of a clause:
 * negation: reaches over the next few tokens and turns an insult into a negated one;
 * reported speech: a verb of saying or an opening quotation mark turns what follows in the clause into a reported one.
 
-Each matched clause yields a weight for one of these readings; a document's features are the heaviest clause of each reading and the number of
-matched clauses, and a logistic model over them gives the score. Isolated words never score by themselves, only the clause that
+Each matched clause yields a weight for one of these readings; a document's features are the heaviest clause of each reading, the number of
+matched clauses and their total, and a logistic model over them gives the score. Isolated words never score by themselves, only the clause that
 they stand in.
 
-Learning: the lexicon's symbols and weights and the six coefficients are fitted on at most `sample` labelled rows (those with the smallest
-hash of the id), none of which is held out. Symbols must be precise, and a greedy cover of the toxic rows keeps the fewest that explain
-them, so that the other words of a copied toxic text are not learned. Scoring covers every text whole.
+Learning: the lexicon's symbols and weights and the coefficients are fitted on at most `sample` labelled rows (those with the smallest
+hash of the id), none of which is held out. A symbol is learned if the toxic texts that hold it are too many for chance; copies of a text, which
+share a hash minimum, count once, so the other words of a copied toxic text are not learned. Scoring covers every text whole.
 
 Cases: null and empty texts get the score of a text without matches; labels that are null or of unknown documents are not used; without any
 label of either kind the fixed seeds and default coefficients apply; equal rows get equal scores; an empty table gives an
@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -52,18 +53,19 @@ REPORTS = (
 ).split()
 QUOTES = "\"“”„«»"
 
-SAMPLE = 40_000
+SAMPLE = 20_000
 HELD_OUT = 5
-PREFIXES = (4, 5, 6)
-FEW = 4  # toxic rows that a symbol must explain
-PRECISE = 0.95
-CANDIDATES = 20_000
+PREFIXES = (3, 4, 5, 6, 7, 8)
+FEW = 5  # toxic rows that a symbol must be found in
+PRECISE = 0.8  # share of toxic rows among its rows
+NATS = 12.0  # evidence against the symbol being spread by chance
+CANDIDATES = 20_000  # symbols, of the most toxic rows, that are looked at
 REACH = 3  # tokens that a negation reaches over
 FLUSH = 300_000
 
 TOKEN = re.compile(r"[\"“”„«»]|[\w'’]+")
 CLAUSE = re.compile(r"[.!?;\n]")
-READINGS = ("asserted", "targeted", "negated", "reported", "threat", "clauses")
+READINGS = ("asserted", "targeted", "negated", "reported", "threat", "clauses", "total")
 
 
 @dataclass(frozen=True)
@@ -82,7 +84,7 @@ class Model:
     coefficients: tuple[float, ...]  # of the readings, then the constant
 
 
-DEFAULT = (4.0, 5.0, 2.0, 2.0, 4.0, 0.5, -4.0)
+DEFAULT = (4.0, 1.0, 2.0, 2.0, 5.0, 0.5, 0.5, -4.0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -140,6 +142,7 @@ class Grammar:
             for reading, weight in found.items():
                 out[reading] = max(out[reading], min(weight, 3.0))
             out["clauses"] += 1
+            out["total"] = min(out["total"] + found["asserted"], 5.0)
         out["clauses"] = float(np.log1p(out["clauses"]))
         return [out[r] for r in READINGS]
 
@@ -201,13 +204,23 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _carried(names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The candidates in each text, and four hash minima of its runs of five words, of which copies share one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = {n: i for i, n in enumerate(names)}
+        factors = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
         for batch in batches:
-            found = [
-                sorted(places[s] for s in _symbols((text or "").lower()) if s in places) for text in batch["text"].to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["carried"])
+            found, minima = [], []
+            for text in batch["text"].to_pylist():
+                symbols = _symbols((text or "").lower())
+                words = (text or "").lower().split()
+                runs = [" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))]
+                hashes = np.array([crc32(r.encode()) for r in runs], np.uint64)
+                found.append(sorted(places[s] for s in symbols if s in places))
+                minima.append((((hashes[:, None] * factors) & np.uint64(0xFFFFFFFF)).min(axis=0)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.int32())), pa.array(minima, pa.list_(pa.int64()))], ["carried", "minima"]
+            )
 
     return run
 
@@ -222,21 +235,40 @@ def _featured(symbols: tuple[Symbol, ...]) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
-def _cover(rows: list[list[int]], candidates: list[tuple[str, int, int]]) -> list[int]:
-    """Greedy cover of the toxic rows: the symbol that explains most rows not explained so far, whole and long ones first."""
-    holders: dict[int, set[int]] = {}
-    for row, carried in enumerate(rows):
-        for place in carried:
-            holders.setdefault(place, set()).add(row)
-    chosen = []
-    while holders:
-        best = max(holders, key=lambda p: (len(holders[p]), candidates[p][0].startswith("="), len(candidates[p][0]), candidates[p][0]))
-        if len(holders[best]) < FEW:
-            break
-        chosen.append(best)
-        explained = holders.pop(best)
-        holders = {p: left for p, own in holders.items() if (left := own - explained)}
-    return chosen
+def _texts_of(minima: list[list[int]]) -> list[int]:
+    """One number for the rows that are copies of each other: they share one of their minima."""
+    root = list(range(len(minima)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    first: dict[tuple[int, int], int] = {}
+    for row, own in enumerate(minima):
+        for key in enumerate(own):
+            root[find(row)] = find(first.setdefault(key, row))
+    return [find(i) for i in range(len(minima))]
+
+
+def _specific(found: dict[int, tuple[str, set[int]]]) -> list[int]:
+    """Without the beginnings whose texts a single longer symbol has nearly all."""
+    longer: dict[str, int] = {}
+    for name, texts in found.values():
+        word = name.removeprefix("=")
+        for size in range(min(PREFIXES), len(word) + name.startswith("=")):
+            longer[word[:size]] = max(longer.get(word[:size], 0), len(texts))
+    return [p for p, (name, texts) in sorted(found.items()) if name.startswith("=") or longer.get(name, 0) < 0.9 * len(texts)]
+
+
+def _evidence(toxic: int, clean: int, base: float) -> float:
+    """How far, in nats, the share of toxic rows exceeds what chance gives at the base rate."""
+    share = toxic / (toxic + clean)
+    if share <= base:
+        return 0.0
+    clean_part = clean * np.log((1 - share) / (1 - base)) if clean else 0.0
+    return float(toxic * np.log(share / base) + clean_part)
 
 
 def _logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> tuple[float, ...]:
@@ -258,7 +290,7 @@ def _logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1.0, roun
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit lexicon and coefficients on at most `sample` labelled rows that are not held out.
 
-    The driver receives rows of the sample's size at most: ids and labels, symbols, and six features a row.
+    The driver receives rows of the sample's size at most: ids and labels, symbols, and seven features a row.
     """
     spark = docs.sparkSession
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -272,16 +304,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     counted = rows.mapInArrow(_counted, "symbol string, toxic long, clean long").groupBy("symbol")
     counted = counted.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    precise = counted.filter((F.col("toxic") >= FEW) & (F.col("toxic") >= PRECISE * (F.col("toxic") + F.col("clean"))))
-    top = precise.orderBy(F.desc("toxic"), "symbol").limit(CANDIDATES).collect()
+    precise = F.col("toxic") >= PRECISE * (F.col("toxic") + F.col("clean"))
+    top = counted.filter((F.col("toxic") >= FEW) & precise).orderBy(F.desc("toxic"), "symbol").limit(CANDIDATES).collect()
     candidates = [(r["symbol"], r["toxic"], r["clean"]) for r in top]
     toxic_rows = rows.filter("toxic = 1").select("text")
-    carried = toxic_rows.mapInArrow(_carried([c[0] for c in candidates]), "carried array<int>").collect()
+    names = [c[0] for c in candidates]
+    carried = toxic_rows.mapInArrow(_carried(names), "carried array<int>, minima array<long>").collect()
+    holders: dict[int, set[int]] = {}
+    for text, row in zip(_texts_of([r["minima"] for r in carried]), carried, strict=True):
+        for place in row["carried"]:
+            holders.setdefault(place, set()).add(text)
+    base = share[1] / share[0]
     learned = []
-    for place in _cover([r["carried"] for r in carried], candidates):
-        name, toxic, clean = candidates[place]
-        weight = float(np.log((toxic + 0.5) / (clean + 0.5)) / 5)
-        learned.append(Symbol(name.removeprefix("="), name.startswith("="), min(max(weight, 0.2), 1.5)))
+    for place in _specific({p: (names[p], found) for p, found in holders.items()}):
+        name, _, clean = candidates[place]
+        toxic = len(holders[place])
+        if toxic >= FEW and toxic >= PRECISE * (toxic + clean) and _evidence(toxic, clean, base) >= NATS:
+            weight = float(np.log((toxic + 0.5) / (clean + 0.5) * (1 - base) / base) / 5)
+            learned.append(Symbol(name.removeprefix("="), name.startswith("="), min(max(weight, 0.2), 1.5)))
     symbols = (*learned, *(s for s in _seeds() if s.text not in {x.text for x in learned}))
     fitted = rows.mapInArrow(_featured(symbols), "features array<double>, toxic int").collect()
     features, marks = np.array([r["features"] for r in fitted]), np.array([r["toxic"] for r in fitted], float)
