@@ -9,7 +9,7 @@ from textmill.sources import registry
 from textmill.streaming.incremental import process_new_files
 
 SETTINGS = settings.ModelSettings(
-    lda_num_topics_start=2, lda_num_topics_end=3, no_below=1, lda_passes=15, lda_chunksize=100, words_per_topic=4
+    lda_num_topics_start=2, lda_num_topics_end=3, no_below=1, lda_passes=15, lda_updates_per_pass=1, words_per_topic=4
 )
 
 
@@ -90,6 +90,26 @@ def test_serving_agrees_with_batch(spark, planted, fitted):
     assert training.serve(empty, model, corpus.dictionary, "body", keep=("id",)).first().pred_index is None
 
 
+def test_serving_follows_the_settings_of_a_run(spark, tmp_path):
+    rows = [(i, f"Kort penge konto {'løn rente' if i % 2 else 'bil vej'} ord{i % 3}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, body string")
+    config = settings.from_nested(
+        {"s": {"target_column": "body", "target_column_id": "id", "models": [
+            {"n_gram": n, "lda_num_topics_start": 2, "lda_num_topics_end": 3, "no_below": 1, "lda_passes": 3, "words_per_topic": 3}
+            for n in (1, 2)]}}
+    )
+    log = training.run(spark, config, {"s": df}, str(tmp_path)).collect()
+    assert sorted(r.n_gram for r in log) == [1, 2] and len({r.words_preprocess for r in log}) == 2
+    for row in log:
+        model, dictionary = registry.load_model(spark, str(tmp_path), row.model_guid)
+        how = registry.load_preparation(spark, str(tmp_path), row.model_guid)
+        assert how["n_gram"] == row.n_gram and how["collocations"]
+        served = training.serve(df, model, dictionary, "body", keep=("id",), preparation=how, threshold=0.0)
+        batch = spark.read.parquet(f"{tmp_path}/predictions").filter(F.col("model_guid") == row.model_guid)
+        batch = {r.MessageID: (r.pred_index, round(r.pred_probability, 6)) for r in batch.collect()}
+        assert {r.id: (r.pred_index, round(r.pred_probability, 6)) for r in served.collect()} == batch
+
+
 def test_perplexity_sign(fitted):
     corpus, model = fitted
     assert topics.log_perplexity(model, corpus.train) < 0
@@ -124,6 +144,7 @@ def test_run_appends_and_skips_stored_rows(spark, tmp_path):
     second = training.run(spark, config, {"s": df}, str(tmp_path)).collect()
     assert len(second) == 4 and max(r.rows for r in second) == 60
     clean = spark.read.parquet(f"{tmp_path}/clean/source=s")
+    assert clean.select("settings").distinct().count() == 1
     assert clean.count() == 60 == clean.select("id").distinct().count()
     assert spark.read.parquet(f"{tmp_path}/topics").count() == 2 * (2 + 3) * 3 * 2
     assert spark.read.parquet(f"{tmp_path}/predictions").count() == (40 + 20 + 60 + 30) * 2
@@ -144,8 +165,9 @@ def test_published_predictions(spark, planted, fitted):
 
 
 def test_settings():
-    longest = settings.SourceSettings("a", "b", (settings.ModelSettings(), settings.ModelSettings(n_gram=2)))
-    assert longest.n_gram == 2
+    mixed = settings.SourceSettings("a", "b", (settings.ModelSettings(), settings.ModelSettings(n_gram=2)))
+    assert mixed.n_grams() == [1, 2]
+    assert training.clean_name("s", mixed, 1) != training.clean_name("s", mixed, 2)
     with pytest.raises(ValueError):
         settings.from_nested({"s": {"target_column": "a", "target_column_id": "b", "models": [{"Tests": 1}]}})
     config = settings.from_nested(

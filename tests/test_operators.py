@@ -119,13 +119,11 @@ def test_dictionary_thresholds(spark):
     assert sorted(map(tuple, free.collect())) == sorted(map(tuple, kept.collect()))
 
 
-def test_most_frequent_is_the_same_by_ranges(spark, monkeypatch):
+def test_most_frequent_by_ranges(spark):
     rows = [(f"w{i:03d}", i % 7, i) for i in range(200)]
     df = spark.createDataFrame(rows, "token string, df long, cf long").repartition(4)
     expected = {r[0] for r in sorted(rows, key=lambda r: (-r[1], r[0]))[:60]}
     assert {r.token for r in vocabulary.most_frequent(df, 60).collect()} == expected
-    monkeypatch.setattr(vocabulary, "ONE_TASK_ROWS", 50)
-    assert {r.token for r in vocabulary.most_frequent(df, 60).collect()} == expected
 
 
 def test_token_statistics(spark):
@@ -138,19 +136,21 @@ def test_token_statistics(spark):
     assert found == {t: (df[t], cf[t]) for t in cf}
 
 
-def test_bag_of_words_bounded_and_not(spark, monkeypatch):
+def test_bag_of_words_and_vectors(spark):
     rows = documents(5)
     df = frame(spark, rows)
     ids = vocabulary.build_dictionary(df, "t", no_below=2, no_above=0.9).cache()
-    bounded = sorted(map(tuple, vocabulary.doc2bow(df, "id", "t", ids).collect()))
-    monkeypatch.setattr(vocabulary, "KEEP_N", 1)
-    assert bounded == sorted(map(tuple, vocabulary.doc2bow(df, "id", "t", ids).collect()))
-    monkeypatch.undo()
+    counts = sorted(map(tuple, vocabulary.doc2bow(df, "id", "t", ids).collect()))
     known = {r.token for r in ids.collect()}
-    assert sum(c for *_, c in bounded) == sum(t in known for _, tokens in rows for t in tokens)
+    assert sum(c for *_, c in counts) == sum(t in known for _, tokens in rows for t in tokens)
     bows = vocabulary.with_bow(df, "id", "t", ids).collect()
     assert len(bows) == len(rows) and all(b.bow == sorted(b.bow) for b in bows)
-    assert vocabulary.vectorizer(ids, "t").transform(df).count() == len(rows)
+    made = vocabulary.with_vectors(df, "t", ids)
+    assert made.columns == [*df.columns, "features"]
+    found = [(r.id, int(i), int(v)) for r in made.collect() for i, v in zip(r.features.indices, r.features.values)]
+    assert sorted(found) == counts and made.count() == len(rows)
+    twice = vocabulary.with_vectors(df.union(df), "t", ids)
+    assert sorted(str(r.features) for r in twice.collect()) == sorted(2 * [str(r.features) for r in made.collect()])
 
 
 def test_top_words_keep_order_and_empty_rows(spark):
@@ -237,18 +237,16 @@ def test_threads(spark):
     assert not found[2].has_member_message and found[2].first_member_message_body is None
 
 
-def test_samples_and_complements(spark, monkeypatch):
+def test_samples_and_complements(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     sample = shape.sample_n(df, 100, "k", 7)
     rest = shape.without(df, sample, "k")
     order = F.md5(F.concat_ws("-", F.col("k").cast("string"), F.lit("7")))
     plain = {r.k for r in df.orderBy(order).limit(100).collect()}
     assert {r.k for r in sample.collect()} == plain
-    monkeypatch.setattr(shape, "ONE_TASK_ROWS", 10)
     for n in (1, 100, 999):
         cut = {r.k for r in shape.sample_n(df, n, "k", 7).collect()}
         assert cut == {r.k for r in df.orderBy(order).limit(n).collect()}
-    monkeypatch.undo()
     assert sample.count() == 100 and rest.count() == 900 and sample.union(rest).distinct().count() == 1000
     assert shape.sample_n(df, 5000, "k").count() == 1000 == shape.sample_n(df, 0, "k").count()
     assert 150 < shape.sample_fraction(df, 0.2, "k").count() < 250

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
@@ -21,14 +23,11 @@ MODEL = settings.ModelSettings(
     lda_num_topics_end=TOPICS + 1,
     no_above=0.5,
     no_below=8,
-    keep_n=5000,
-    lda_sample_size=30_000,
-    lda_chunksize=2000,
-    lda_passes=10,
-    max_iterations=10,
+    lda_passes=50,
+    lda_updates_per_pass=1,
     words_per_topic=10,
 )
-SOURCE = settings.SourceSettings("text", "doc_id", (MODEL,), passthrough=("lang",), collocations=False)
+SOURCE = settings.SourceSettings("text", "doc_id", (MODEL,), passthrough=("lang",))
 
 
 def prepared(spark, sf):
@@ -66,11 +65,15 @@ def lda_one_topic(spark, sf):
     return topics.one_topic(training.topic_table(corpus, model, TOPICS, 10), 0, 7)
 
 
-@query("lda_features")
+@query("lda_features", "SELECT doc_id, true AS sums_to_one FROM documents")
 def lda_features(spark, sf):
+    """Topic vectors of every document; their sum is checked against SQL, the shares themselves are the model's."""
     corpus, model = trained(spark, sf)
-    scored = topics.with_topic_vector(corpus.train, model)
-    return scored.select("doc_id", *[F.col("lda_features")[i].alias(f"topic_{i}") for i in range(TOPICS)])
+    vectors = vocabulary.with_vectors(corpus.scope.select("doc_id", "stopwords_removed"), "stopwords_removed", corpus.dictionary)
+    total = F.aggregate("lda_features", F.lit(0.0), lambda a, b: a + b)
+    empty = F.aggregate("lda_features", F.lit(True), lambda a, b: a & (b == 0))
+    scored = topics.with_topic_vector(vectors, model)
+    return scored.select("doc_id", ((F.abs(total - 1) < 1e-6) | empty).alias("sums_to_one"))
 
 
 @query("lda_predictions")
@@ -95,11 +98,20 @@ def lda_language(spark, sf):
     return labelled.groupBy("lang", "pred_label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("lda_serve")
+@query("lda_serve", "SELECT doc_id, true AS same FROM documents")
 def lda_serve(spark, sf):
-    corpus, model = trained(spark, sf)
-    messages = documents(spark, sf).select("doc_id", F.col("text").alias("message"))
-    return training.serve(messages, model, corpus.dictionary, "message", keep=("doc_id",))
+    """A run on tokens, bigrams and trigrams; serving the same texts with the stored settings agrees with its predictions."""
+    folder = scratch_path(spark, "served")
+    docs = documents(spark, sf).select("doc_id", "lang", "text")
+    log = training.run(spark, {"documents": SOURCE}, {"documents": docs}, folder)
+    guid = log.select("model_guid").first().model_guid
+    model, dictionary = model_registry.load_model(spark, folder, guid)
+    served = training.serve(
+        docs.withColumnRenamed("text", "message"), model, dictionary, "message", keep=("doc_id",), threshold=0.0,
+        preparation=model_registry.load_preparation(spark, folder, guid),
+    )
+    batch = spark.read.parquet(f"{folder}/predictions").select(F.col("MessageID").alias("doc_id"), F.col("pred_index").alias("batch"))
+    return served.join(batch, "doc_id").select("doc_id", F.col("pred_index").eqNullSafe(F.col("batch")).alias("same"))
 
 
 @query("lda_sweep")
@@ -132,14 +144,14 @@ RUN_TOKENS = f"""t AS (SELECT doc_id, token FROM (SELECT doc_id, unnest({tokens(
     "run_log",
     f"""WITH {RUN_TOKENS} SELECT 'documents' AS source, 'Target_text_Group-None_Topics_3' AS scope,
     (SELECT count(*) FROM documents) AS rows, (SELECT count(*) FROM s) AS words_preprocess,
-    (SELECT least(count(*), 5000) FROM s WHERE (df >= 8 AND df <= floor(0.5 * (SELECT count(*) FROM documents))) OR token = '?')
+    (SELECT count(*) FROM s WHERE (df >= 8 AND df <= floor(0.5 * (SELECT count(*) FROM documents))) OR token = '?')
     AS words_postprocess, 3 AS lda_num_topics""",
 )
 def run_log(spark, sf):
     """A whole run: clean rows stored, models trained and registered, topics and predictions appended."""
     folder = scratch_path(spark, "run")
     docs = documents(spark, sf).select("doc_id", "lang", "text")
-    log = training.run(spark, {"documents": SOURCE}, {"documents": docs}, folder)
+    log = training.run(spark, {"documents": replace(SOURCE, collocations=False)}, {"documents": docs}, folder)
     return log.select("source", "scope", "rows", "words_preprocess", "words_postprocess", "lda_num_topics")
 
 
@@ -162,8 +174,7 @@ def run_outputs(spark, sf):
                 "collocations": False,
                 "models": [
                     {"GroupColumn": "lang", "GroupValue": group, "lda_num_topics_start": 2, "lda_num_topics_end": 3,
-                     "no_below": 5, "no_above": 0.5, "keep_n": 2000, "lda_passes": 5, "lda_chunksize": 2000,
-                     "max_iterations": 5, "words_per_topic": 5}
+                     "no_below": 5, "no_above": 0.5, "lda_updates_per_pass": 1, "words_per_topic": 5}
                     for group in ("de", "fr")
                 ],
             }
@@ -197,28 +208,32 @@ def model_registry_query(spark, sf):
 # --- clusters --------------------------------------------------------------------------------
 
 
-def vectors(spark, sf, keep_n=500):
+def vectors(spark, sf, no_below=5):
     docs = tokenized(spark, sf)
     n_docs = docs.count()
-    dictionary = vocabulary.build_dictionary(docs, "tokens", 5, 0.8, keep_n, keep_tokens=(), n_docs=n_docs)
-    return clusters.tfidf_vectors(docs, "tokens", dictionary.persist(StorageLevel.MEMORY_AND_DISK), n_docs)
+    dictionary = vocabulary.build_dictionary(docs, "tokens", no_below, 0.8, keep_tokens=(), n_docs=n_docs)
+    return clusters.tfidf_vectors(docs, "tokens", dictionary, n_docs)
+
+
+#: numbers of clusters of the elbow; the full study goes to 49
+ELBOW = (1, 2, 4, 8)
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    return clusters.elbow(vectors(spark, sf), (1, 2, 4, 6), max_iterations=10)
+    return clusters.elbow(vectors(spark, sf), ELBOW)
 
 
 @query("kmeans_labels")
 def kmeans_labels(spark, sf):
     made = vectors(spark, sf).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    model = clusters.fit_kmeans(made, 4, max_iterations=10)
+    model = clusters.fit_kmeans(made, 4)
     return model.transform(made).select("doc_id", "cluster")
 
 
 @query("pca_2d")
 def pca_2d(spark, sf):
-    made = vectors(spark, sf, keep_n=200).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    made = vectors(spark, sf).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     return clusters.two_components(made).select("doc_id", "x", "y")
 
 

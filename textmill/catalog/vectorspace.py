@@ -73,7 +73,7 @@ def bow_arrays(spark, sf):
 @query("vectorized_counts", BOW)
 def vectorized_counts(spark, sf):
     """The same counts from sparse vectors, as the models read them."""
-    vectors = vocabulary.vectorizer(dictionary(spark, sf), "tokens").transform(tokenized(spark, sf))
+    vectors = vocabulary.with_vectors(tokenized(spark, sf), "tokens", dictionary(spark, sf))
     parts = F.unwrap_udt("features")
     pairs = F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))
     return inline_rows(vectors, ["doc_id"], pairs).select(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -11,10 +10,6 @@ from pyspark.sql import functions as F
 
 from textmill.functions.expressions import explode_rows, words
 
-# rows that one task may sort
-ONE_TASK_ROWS = 1_000_000
-
-
 def select_renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Keep the named columns under their new names."""
     return df.select([F.col(old).alias(new) for old, new in names.items()])
@@ -67,23 +62,20 @@ def _hash_bound(share: float) -> str:
 def sample_n(df: DataFrame, n: int | None, key: str, seed: int = 1, rows: int | None = None) -> DataFrame:
     """Exactly n rows, drawn by the hash order of the key; no n, or more than there are, keeps all.
 
-    On a large table only the narrow band of hashes around the n-th is sorted: what lies below it
-    is taken by a filter. If the band misses the n-th hash, all rows are sorted.
+    The rows are counted in 4,096 ranges of the hash. The ranges before the one that holds the n-th row are taken by a
+    filter, and only that range is sorted.
     """
-    if not n or n <= 0:
-        return df
-    total = df.count() if rows is None else rows
-    if n >= total:
+    if not n or n <= 0 or (rows is not None and n >= rows):
         return df
     order = _hash_order(key, seed)
-    if total > ONE_TASK_ROWS:
-        width = 6 * math.sqrt(n) + 10
-        low, high = _hash_bound((n - width) / total), _hash_bound((n + width) / total)
-        below, within = df.agg(F.count_if(order < low), F.count_if((order >= low) & (order < high))).first()
-        if below <= n <= below + within:
-            band = df.filter((order >= low) & (order < high)).orderBy(order, F.col(key)).limit(n - below)
-            return df.filter(order < low).unionByName(band)
-    return df.orderBy(order, F.col(key)).limit(n)
+    place = F.conv(F.substring(order, 1, 3), 16, 10).cast("int")
+    before = 0
+    for found in df.groupBy(place.alias("slice")).agg(F.count(F.lit(1)).alias("rows")).orderBy("slice").collect():
+        if before + found.rows >= n:
+            last = df.filter(place == found.slice).orderBy(order, F.col(key)).limit(n - before)
+            return df.filter(place < found.slice).unionByName(last)
+        before += found.rows
+    return df
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 1) -> DataFrame:

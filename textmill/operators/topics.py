@@ -30,27 +30,25 @@ def train_lda(
     vectors_df: DataFrame,
     *,
     k: int,
-    n_docs: int,
     passes: int = 50,
-    chunksize: int = 500,
+    updates_per_pass: int = 2,
     alpha: str | float = "asymmetric",
     eta: str | float | None = None,
     seed: int = 1,
-    max_iterations: int | None = None,
     features: str = "features",
 ) -> LDAModel:
-    """Online LDA: `passes` over the corpus in mini-batches of about `chunksize` documents.
+    """Online LDA: `passes` over the corpus, each in `updates_per_pass` mini-batches of that share of the rows.
+
+    Spark scans the cached vectors for every mini-batch, so a fixed number of batches keeps the work in proportion to the rows.
 
     alpha is "asymmetric", "symmetric", "auto" (learned) or a number. A learned eta does not
     exist in Spark ML: "auto" and None keep its default, a number is used as it is.
     """
-    chunks = max(1, math.ceil(n_docs / chunksize))
-    iterations = passes * chunks
     model = LDA(
         k=k,
         optimizer="online",
-        maxIter=min(iterations, max_iterations) if max_iterations else iterations,
-        subsamplingRate=min(1.0, chunksize / max(1, n_docs)),
+        maxIter=passes * updates_per_pass,
+        subsamplingRate=1.0 / updates_per_pass,
         optimizeDocConcentration=alpha == "auto",
         learningOffset=LEARNING_OFFSET,
         learningDecay=LEARNING_DECAY,

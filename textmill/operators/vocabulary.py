@@ -4,19 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from textmill.functions import fixed
 from textmill.functions.expressions import explode_rows, inline_rows, let
 from textmill.operators.ordering import global_running
 from textmill.session import materialise
 
-KEEP_N = 100_000
-# rows that one task may sort
-ONE_TASK_ROWS = 1_000_000
-
 
 def token_statistics(df: DataFrame, tokens: str) -> DataFrame:
     """(token, df, cf) with one shuffle: the first occurrence in each row is flagged in the sorted array."""
@@ -41,10 +38,10 @@ def filter_extremes(
     n_docs: int,
     no_below: int = 5,
     no_above: float = 0.5,
-    keep_n: int | None = KEEP_N,
+    keep_n: int | None = None,
     keep_tokens: Sequence[str] = (fixed.KEPT_TOKEN,),
 ) -> DataFrame:
-    """Tokens in at least `no_below` and at most `no_above` * n_docs documents, then the `keep_n` most frequent."""
+    """Tokens in at least `no_below` and at most `no_above` * n_docs documents; `keep_n`, if given, keeps the most frequent."""
     kept = statistics.filter(
         F.col("df").between(no_below, int(no_above * n_docs)) | F.col("token").isin(list(keep_tokens))
     )
@@ -52,25 +49,13 @@ def filter_extremes(
 
 
 def most_frequent(kept: DataFrame, keep_n: int) -> DataFrame:
-    """The `keep_n` tokens with the highest document frequency, ties by token.
+    """The `keep_n` tokens with the highest document frequency, ties by token, ranked by range partitions."""
+    ranked = global_running(kept, [F.desc("df"), F.asc("token")], rank="_rank")
+    return ranked.filter(F.col("_rank") <= keep_n).drop("_rank")
 
-    The table is stored first, since every user of a dictionary reads it again. A table too large
-    to sort in one task is ranked by range partitions.
-    """
-    stored = materialise(kept)
-    size = stored.count()
-    if size <= keep_n:
-        return stored
-    order = [F.desc("df"), F.asc("token")]
-    if size <= ONE_TASK_ROWS:
-        return stored.orderBy(*order).limit(keep_n)
-    return global_running(stored, order, rank="_rank").filter(F.col("_rank") <= keep_n).drop("_rank")
-
-
-def with_ids(kept: DataFrame, keep_n: int | None = KEEP_N) -> DataFrame:
-    """Dense 0-based ids in token order. The one-task window is used only under a size bound."""
-    if keep_n is not None and keep_n <= KEEP_N:
-        return kept.withColumn("token_id", (F.row_number().over(Window.orderBy("token")) - 1).cast("long"))
+
+def with_ids(kept: DataFrame) -> DataFrame:
+    """Dense 0-based ids in token order."""
     ranked = global_running(kept, [F.asc("token")], rank="token_id")
     return ranked.withColumn("token_id", (F.col("token_id") - 1).cast("long"))
 
@@ -80,30 +65,26 @@ def build_dictionary(
     tokens: str,
     no_below: int = 0,
     no_above: float = 1.0,
-    keep_n: int | None = KEEP_N,
+    keep_n: int | None = None,
     keep_tokens: Sequence[str] = (fixed.KEPT_TOKEN,),
     n_docs: int | None = None,
 ) -> DataFrame:
-    """(token_id, token, df, cf). All documents count, empty ones too."""
+    """(token_id, token, df, cf), stored, since every user of a dictionary reads it again. All documents count, empty ones too."""
     total = df.count() if n_docs is None else n_docs
     kept = filter_extremes(token_statistics(df, tokens), total, no_below, no_above, keep_n, keep_tokens)
-    return with_ids(kept, keep_n).select("token_id", "token", "df", "cf")
+    return materialise(with_ids(kept).select("token_id", "token", "df", "cf"))
 
 
-def doc2bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> DataFrame:
-    """(key, token_id, cnt); unknown tokens drop out.
-
-    A dictionary of at most KEEP_N tokens, which is checked, is broadcast before the count, so
-    only known tokens are shuffled. A larger one is joined after the count.
-    """
-    ids = dictionary.select("token", "token_id")
-    bounded = ids.limit(KEEP_N + 1).count() <= KEEP_N
+def _counted(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> DataFrame:
+    """(key, cnt, columns of the dictionary); tokens are counted before the join, which the adaptive plan broadcasts by size."""
     exploded = explode_rows(df, [key], F.col(tokens), "token")
-    if bounded:
-        known = exploded.join(F.broadcast(ids), "token")
-        return known.groupBy(key, "token_id").agg(F.count(F.lit(1)).alias("cnt"))
     counted = exploded.groupBy(key, "token").agg(F.count(F.lit(1)).alias("cnt"))
-    return counted.join(ids, "token").select(key, "token_id", "cnt")
+    return counted.join(dictionary, "token")
+
+
+def doc2bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> DataFrame:
+    """(key, token_id, cnt); unknown tokens drop out."""
+    return _counted(df, key, tokens, dictionary.select("token", "token_id")).select(key, "token_id", "cnt")
 
 
 def with_bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> DataFrame:
@@ -116,12 +97,29 @@ def with_bow(df: DataFrame, key: str, tokens: str, dictionary: DataFrame) -> Dat
     return df.join(listed, key, "left").withColumn("bow", F.coalesce("bow", empty))
 
 
-def vectorizer(dictionary: DataFrame, tokens: str, output: str = "features") -> CountVectorizerModel:
-    """A count vectorizer over a bounded dictionary, in id order; vectors are made without a shuffle."""
-    ordered = [row.token for row in dictionary.orderBy("token_id").select("token").limit(KEEP_N + 1).collect()]
-    if len(ordered) > KEEP_N:
-        raise ValueError(f"the dictionary holds more than {KEEP_N} tokens; build it with keep_n")
-    return CountVectorizerModel.from_vocabulary(ordered, inputCol=tokens, outputCol=output)
+def with_vectors(
+    df: DataFrame, tokens: str, dictionary: DataFrame, value: Column | None = None, output: str = "features"
+) -> DataFrame:
+    """Add sparse vectors over the whole dictionary: the count of each token, or `value`, an expression over cnt, df and cf.
+
+    Rows are stored with a number of their own, so rows with equal columns stay apart. Vectors come from grouped rows of the bag of words; no list of
+    tokens reaches the driver. The Arrow step passes its batches on untouched and only names their type.
+    """
+    held = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+    size = dictionary.agg(F.coalesce(F.max("token_id") + 1, F.lit(0)).alias("n")).first()["n"]
+    rows = _counted(held, "_row", tokens, dictionary.select("token", "token_id", "df", "cf"))
+    entry = F.struct(F.col("token_id").cast("int").alias("at"), (F.col("cnt") if value is None else value).cast("double").alias("value"))
+    listed = rows.groupBy("_row").agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    entries = F.coalesce("_entries", F.array().cast("array<struct<at:int,value:double>>"))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(int(size)).alias("size"),
+        F.transform(entries, lambda e: e["at"]).alias("indices"),
+        F.transform(entries, lambda e: e["value"]).alias("values"),
+    )
+    made = held.join(listed, "_row", "left").select(*[c for c in held.columns if c != "_row"], vector.alias(output))
+    fields = [f for f in made.schema.fields if f.name != output]
+    return made.mapInArrow(lambda batches: batches, StructType([*fields, StructField(output, VectorUDT())]))
 
 
 def only_top_words(df: DataFrame, key: str, tokens: str, listed: DataFrame, output: str) -> DataFrame:

@@ -19,18 +19,17 @@ class ModelSettings:
     n_gram: int = 1
     no_above: float = 1.0
     no_below: int = 8
-    keep_n: int = 100_000
+    keep_n: int | None = None
     random_state: int = 1
     lda_sample_size: int | None = None
     lda_num_topics_start: int = 10
     lda_num_topics_end: int = 11
     lda_num_topics_increment: int = 1
-    lda_chunksize: int = 500
+    lda_updates_per_pass: int = 2
     lda_passes: int = 50
     lda_alpha: str | float = "asymmetric"
     lda_eta: str | float | None = None
     lda_minimum_probability: float = 0.005
-    max_iterations: int | None = None
     words_per_topic: int = 100
     model_comment: str = "No comment found"
 
@@ -53,10 +52,14 @@ class SourceSettings:
     full_clean: bool = False
     only_best: bool = True
 
-    @property
-    def n_gram(self) -> int:
-        """Texts are prepared once per source, for the longest runs that one of its models asks for."""
-        return max((m.n_gram for m in self.models), default=1)
+    def n_grams(self) -> list[int]:
+        """The lengths of runs that the models ask for; texts are prepared once for each."""
+        return sorted({m.n_gram for m in self.models})
+
+    def preparation(self, n_gram: int) -> dict[str, object]:
+        """What decides how a text becomes tokens; a model is served with the same."""
+        names = ("remove_stopwords", "add_features", "collocations", "full_clean")
+        return {"n_gram": n_gram} | {name: getattr(self, name) for name in names}
 
 
 # fixed values: names of the settings in a nested configuration

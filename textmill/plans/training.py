@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -15,12 +17,12 @@ from pyspark.sql import functions as F
 from textmill.operators import shape, topics, vocabulary
 from textmill.plans.preparation import tokenized, with_ngrams, without_stopwords
 from textmill.plans.settings import ModelSettings, SourceSettings
-from textmill.session import scratch_path
+from textmill.session import materialise, scratch_path
 from textmill.sources import files, registry, tables
 
 RUN_LOG = """iteration_guid string, model_guid string, source string, target_column string, target_column_id string,
 group_column string, group_value string, scope string, identifier string, predict_by_column string, n_gram int,
-no_above double, no_below int, random_state int, lda_sample_size long, lda_num_topics int, lda_chunksize int,
+no_above double, no_below int, random_state int, lda_sample_size long, lda_num_topics int, lda_updates_per_pass int,
 lda_passes int, lda_alpha string, lda_eta string, lda_minimum_probability double, rows long, words_preprocess long,
 words_postprocess long, train_start timestamp, train_end timestamp, model_comment string"""
 
@@ -49,13 +51,12 @@ def build_corpus(prepared: DataFrame, key: str, text: str, settings: ModelSettin
     statistics = vocabulary.token_statistics(train, tokens).persist(StorageLevel.MEMORY_AND_DISK)
     before = statistics.count()
     kept = vocabulary.filter_extremes(statistics, sample, settings.no_below, settings.no_above, settings.keep_n)
-    dictionary = vocabulary.with_ids(kept, settings.keep_n).select("token_id", "token", "df", "cf")
-    dictionary = dictionary.persist(StorageLevel.MEMORY_AND_DISK)
+    dictionary = materialise(vocabulary.with_ids(kept).select("token_id", "token", "df", "cf"))
     after = dictionary.count()
     if after == 0:
         raise ValueError(f"no token of {rows} rows is within no_below={settings.no_below} and no_above={settings.no_above}")
     statistics.unpersist()
-    vectors = vocabulary.vectorizer(dictionary, tokens).transform(train).select(key, "features")
+    vectors = vocabulary.with_vectors(train.select(key, tokens), tokens, dictionary).select(key, "features")
     return Corpus(scope, vectors.persist(StorageLevel.MEMORY_AND_DISK), dictionary, rows, sample, before, after)
 
 
@@ -63,13 +64,11 @@ def fit(corpus: Corpus, settings: ModelSettings, k: int) -> LDAModel:
     return topics.train_lda(
         corpus.train,
         k=k,
-        n_docs=corpus.sample_size,
         passes=settings.lda_passes,
-        chunksize=settings.lda_chunksize,
+        updates_per_pass=settings.lda_updates_per_pass,
         alpha=settings.lda_alpha,
         eta=settings.lda_eta,
         seed=settings.random_state,
-        max_iterations=settings.max_iterations,
     )
 
 
@@ -91,11 +90,8 @@ def predict(
     minimum: float = 0.0,
     threshold: float = 0.0,
 ) -> DataFrame:
-    """Best topic, or every topic above the minimum, for each row; one message is a one-row table.
-
-    Vectors and scores are made inside each partition: nothing is shuffled.
-    """
-    vectors = vocabulary.vectorizer(dictionary, tokens).transform(df)
+    """Best topic, or every topic above the minimum, for each row; one message is a one-row table."""
+    vectors = vocabulary.with_vectors(df.select(*keep, tokens), tokens, dictionary)
     scored = topics.with_topic_vector(vectors, model).select(*keep, "lda_features")
     if only_best:
         found = topics.best_topics(scored, "lda_features", threshold).drop("lda_features")
@@ -112,12 +108,21 @@ def serve(
     *,
     keep: tuple[str, ...] = (),
     names: DataFrame | None = None,
+    preparation: Mapping[str, object] | None = None,
     stop=None,
     threshold: float = 0.0001,
     n_words: int = 5,
 ) -> DataFrame:
-    """Probability, topic and its top words for messages, prepared exactly as the training rows were."""
-    prepared = without_stopwords(with_ngrams(tokenized(messages, text), "", collocations=False), stop)
+    """Probability, topic and its top words for messages, prepared as the training rows were.
+
+    `preparation` holds the settings stored with the model. Collocations are those of the message itself, as in training.
+    """
+    how = {"n_gram": 1, "full_clean": False, "remove_stopwords": True, "collocations": False} | dict(preparation or {})
+    made = tokenized(messages, text, n_gram=how["n_gram"], full_clean=how["full_clean"])
+    if how["collocations"]:
+        made = materialise(made.withColumn("_message", F.monotonically_increasing_id()))
+    made = with_ngrams(made, "_message", collocations=how["collocations"])
+    prepared = without_stopwords(made, stop if how["remove_stopwords"] else ())
     found = predict(
         prepared, model, dictionary, "stopwords_removed", keep=keep, names=names, threshold=threshold
     )
@@ -141,20 +146,23 @@ def run(
 ) -> DataFrame:
     """Run the whole grid and append to folder/{clean, topics, predictions, log, model_repository}.
 
-    Each source is prepared once, only rows without a stored clean row are prepared, and the
-    models of a source read the stored clean table.
+    Each source is prepared once for each way of preparing it, only rows without a stored clean row are prepared, and the
+    models of a source read the stored clean table. Clean rows are kept by source and settings, so rows of different settings
+    never mix.
     """
     iteration = str(uuid.uuid4())
     for name, source in sources.items():
-        clean_path = f"{folder}/clean/source={name}"
-        _store_clean(spark, inputs[name], source, clean_path, iteration, stop)
-        prepared = spark.read.parquet(clean_path)
-        for settings in source.models:
-            corpus = build_corpus(prepared, source.target_column_id, source.target_column, settings)
-            for k in settings.topic_counts():
-                _one_model(spark, str(name), source, settings, corpus, k, folder, iteration)
-            corpus.train.unpersist()
-            corpus.dictionary.unpersist()
+        for n_gram in source.n_grams():
+            clean_path = f"{folder}/clean/{clean_name(name, source, n_gram, stop)}"
+            _store_clean(spark, inputs[name], source, n_gram, clean_path, iteration, stop)
+            prepared = spark.read.parquet(clean_path)
+            for settings in source.models:
+                if settings.n_gram != n_gram:
+                    continue
+                corpus = build_corpus(prepared, source.target_column_id, source.target_column, settings)
+                for k in settings.topic_counts():
+                    _one_model(spark, str(name), source, settings, corpus, k, folder, iteration)
+                corpus.train.unpersist()
     return spark.read.schema(RUN_LOG).parquet(f"{folder}/log").filter(F.col("iteration_guid") == iteration)
 
 
@@ -168,7 +176,15 @@ def publish(predictions: DataFrame, view: str) -> None:
     predictions.createOrReplaceTempView(view)
 
 
-def _store_clean(spark, table, source, path, iteration, stop):
+def clean_name(name: object, source: SourceSettings, n_gram: int, stop=None) -> str:
+    """Source and a digest of everything that decides how its texts become tokens."""
+    listed = None if stop is None else sorted(stop)
+    columns = (source.target_column, source.target_column_id, list(source.passthrough))
+    told = json.dumps([columns, source.preparation(n_gram), listed], sort_keys=True)
+    return f"source={name}/settings={hashlib.sha256(told.encode()).hexdigest()[:16]}"
+
+
+def _store_clean(spark, table, source, n_gram, path, iteration, stop):
     key, kept = source.target_column_id, (source.target_column_id, source.target_column, *source.passthrough)
     rows = table.select(*kept)
     if _exists(spark, path):
@@ -176,7 +192,7 @@ def _store_clean(spark, table, source, path, iteration, stop):
     made = tokenized(
         rows.withColumn("_source_text", F.col(source.target_column)),
         "_source_text",
-        n_gram=source.n_gram,
+        n_gram=n_gram,
         full_clean=source.full_clean,
         add_features=source.add_features,
     )
@@ -198,7 +214,8 @@ def _one_model(spark, name, source, settings, corpus, k, folder, iteration):
     started = datetime.now()
     model = fit(corpus, settings, k)
     ended = datetime.now()
-    registry.save_model(spark, folder, guid, model, corpus.dictionary, "model_LDA", scope)
+    how = source.preparation(settings.n_gram)
+    registry.save_model(spark, folder, guid, model, corpus.dictionary, "model_LDA", scope, how)
     constants = {
         "target_column": source.target_column,
         "lda_num_topics": k,
@@ -224,7 +241,7 @@ def _one_model(spark, name, source, settings, corpus, k, folder, iteration):
         iteration, guid, name, source.target_column, source.target_column_id, settings.group_column,
         settings.group_value, scope, f"{scope}_Model_{guid}", settings.predict_by_column, settings.n_gram,
         float(settings.no_above), settings.no_below, settings.random_state, corpus.sample_size, k,
-        settings.lda_chunksize, settings.lda_passes, str(settings.lda_alpha), str(settings.lda_eta),
+        settings.lda_updates_per_pass, settings.lda_passes, str(settings.lda_alpha), str(settings.lda_eta),
         float(settings.lda_minimum_probability), corpus.rows, corpus.words_before, corpus.words_after, started, ended,
         settings.model_comment,
     )

@@ -20,7 +20,8 @@ SETTINGS = {
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benches; on a cluster use the session it provides."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("textmill")
-    for key, value in SETTINGS.items():
+    folder = tempfile.mkdtemp(prefix="textmill-")
+    for key, value in SETTINGS.items() | {("spark.checkpoint.dir", folder)}:
         builder = builder.config(key, value)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
@@ -32,11 +33,12 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only for a local master."""
+    """The folder named by spark.checkpoint.dir, which all executors share.
+
+    Only a local session without the setting gets a temporary folder, set once for the whole session.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -46,11 +48,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/textmill/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in one folder for each application.
+
+    Results read these tables until they are written elsewhere, so nothing is deleted while the application runs; when it has
+    ended, the folder textmill/<application id> can go as a whole.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/textmill/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a table below the shared folder and read it back: lost executors cost no recomputation, and later reads
+    still prune columns and know sizes."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

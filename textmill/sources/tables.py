@@ -9,16 +9,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A scan for text work: a small file with fewer splits than cores is spread over them.
-
-    A large table has more splits than cores and keeps them, so nothing is shuffled.
-    """
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def sql_query(spark: SparkSession, query: str, args: dict | None = None, **views: DataFrame) -> DataFrame:
     """Run a parameterised query over the given tables."""
     return spark.sql(query, args=args or {}, **views)
