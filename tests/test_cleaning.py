@@ -143,6 +143,8 @@ def test_html(column):
     given = ["<p>a</p><p>b &amp; c</p><!-- x --><script>s()</script>", "plain", None]
     assert column(given, html.html_text) == ["a.\nb & c", "plain", None]
     assert column(given[:1], lambda c: html.html_text(c, keep_code=True)) == ["a.\nb & cs()"]
+    entities = ["&#230;&#xE5;&#128512;", "&amp;lt; &unknown; &oslash", "a < b &nbsp;c", "<STYLE x>p{}</style >t<!-- <b> -->", "&#0;&#xD800;"]
+    assert column(entities, html.html_text) == ["æå😀", "&lt; &unknown; &oslash", "a < b \xa0c", "t", "\ufffd\ufffd"]
 
 
 def test_full_clean_runs_all_steps(column):

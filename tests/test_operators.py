@@ -158,6 +158,8 @@ def test_top_words_keep_order_and_empty_rows(spark):
     listed = spark.createDataFrame([("a",), ("b",)], "token string")
     found = {r.id: r.k for r in vocabulary.only_top_words(df, "id", "t", listed, "k").collect()}
     assert found == {1: ["b", "a", "b"], 2: [], 3: []}
+    found = {r.id: r.k for r in vocabulary.without_listed(df, "id", "t", listed, "k").collect()}
+    assert found == {1: ["x"], 2: ["x"], 3: []}
 
 
 def plain_tfidf(rows, min_df, max_df):

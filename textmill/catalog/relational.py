@@ -43,28 +43,39 @@ FLAT_TEXT = "regexp_replace(text, '[\\n\\r;]', ' ', 'g')"
 @query(
     "csv_load",
     f"""SELECT CAST(doc_id AS VARCHAR) AS ContentID, 'https://example.org/' || doc_id AS ContentUrl, lang AS ContentType,
-    source AS ContentTitle, {FLAT_TEXT} AS ContentDesriptionText FROM documents""",
+    '2020-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') AS PublishDate, 'kicker "a"' AS ContentTagsKicker,
+    source || ',' || lang AS ContentTagsContent, source AS ContentTagsMultiple, 'Title ' || source AS ContentTitle,
+    left({FLAT_TEXT}, 100) AS ContentDesriptionHeader, left({FLAT_TEXT}, 500) AS ContentDesriptionManchet,
+    {FLAT_TEXT} AS ContentDesriptionText FROM documents""",
 )
 def csv_load(spark, sf):
+    """All columns of the article file. The format has no quotes, so a separator or line end cannot be part of a value; quotes can."""
     path = scratch_path(spark, "articles")
+    text = F.regexp_replace("text", "[\n\r;]", " ")
     articles = documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("ContentID"),
         F.concat(F.lit("https://example.org/"), F.col("doc_id")).alias("ContentUrl"),
         F.col("lang").alias("ContentType"),
-        F.col("source").alias("ContentTitle"),
-        F.regexp_replace("text", "[\n\r;]", " ").alias("ContentDesriptionText"),
+        F.concat(F.lit("2020-01-"), F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0")).alias("PublishDate"),
+        F.lit('kicker "a"').alias("ContentTagsKicker"),
+        F.concat_ws(",", "source", "lang").alias("ContentTagsContent"),
+        F.col("source").alias("ContentTagsMultiple"),
+        F.concat(F.lit("Title "), F.col("source")).alias("ContentTitle"),
+        F.left(text, F.lit(100)).alias("ContentDesriptionHeader"),
+        F.left(text, F.lit(500)).alias("ContentDesriptionManchet"),
+        text.alias("ContentDesriptionText"),
     )
     files.write_articles(articles, path)
-    return files.checked_widths(files.read_articles(spark, path, articles.columns))
+    return files.checked_widths(files.read_articles(spark, path))
 
 
 @query(
     "wide_strings",
-    """SELECT CAST(item_id AS VARCHAR) AS item_id, text,
-    CASE WHEN length(text) > 500 THEN 0 ELSE 1 END AS fits FROM benchmark""",
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars,
+    CASE WHEN length(text) > 500 THEN 0 ELSE 1 END AS fits FROM documents""",
 )
 def wide_strings(spark, sf):
-    return files.to_strings(table(spark, sf, "benchmark")).withColumn(
+    return files.to_strings(documents(spark, sf)).withColumn(
         "fits", F.when(F.length("text") > 500, 0).otherwise(1)
     )
 
@@ -80,11 +91,11 @@ def union_tables(spark, sf):
     )
 
 
-@query("full_reload", "SELECT item_id, text FROM benchmark")
+@query("full_reload", "SELECT doc_id, text FROM documents")
 def full_reload(spark, sf):
     path = scratch_path(spark, "reload")
-    files.replace_table(documents(spark, sf).select(F.col("doc_id").alias("item_id"), "text"), path)
-    files.replace_table(table(spark, sf, "benchmark"), path)
+    files.replace_table(table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text"), path)
+    files.replace_table(documents(spark, sf).select("doc_id", "text"), path)
     return spark.read.parquet(path)
 
 
@@ -114,13 +125,13 @@ def stored_tokens(spark, sf):
 
 @query(
     "csv_export",
-    f"SELECT item_id, array_to_string({tokens('lower(text)')}, ', ') AS tokens FROM benchmark",
+    f"SELECT doc_id, array_to_string({tokens('lower(text)')}, ', ') AS tokens FROM documents",
 )
 def csv_export(spark, sf):
     path = scratch_path(spark, "export")
-    made = table(spark, sf, "benchmark").select("item_id", tok.tokenize(F.lower("text")).alias("tokens"))
+    made = documents(spark, sf).select("doc_id", tok.tokenize(F.lower("text")).alias("tokens"))
     files.export_csv(made, path)
-    return spark.read.csv(path, header=True, schema="item_id long, tokens string")
+    return spark.read.csv(path, header=True, schema="doc_id long, tokens string", emptyValue="")
 
 
 @query("group_files", "SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source")
@@ -132,16 +143,16 @@ def group_files(spark, sf):
 
 @query(
     "list_strings",
-    f"""SELECT item_id, array_to_string(w, ', ') AS joined, len(string_split(array_to_string(w, ', '), ',')) AS parts,
+    f"""SELECT doc_id, array_to_string(w, ', ') AS joined, len(string_split(array_to_string(w, ', '), ',')) AS parts,
     string_split(array_to_string(w, ', '), ',')[2] AS second_part
-    FROM (SELECT item_id, {tokens('lower(text)')} AS w FROM benchmark)""",
+    FROM (SELECT doc_id, {tokens('lower(text)')} AS w FROM documents)""",
 )
 def list_strings(spark, sf):
-    made = table(spark, sf, "benchmark").select("item_id", tok.tokenize(F.lower("text")).alias("w"))
+    made = documents(spark, sf).select("doc_id", tok.tokenize(F.lower("text")).alias("w"))
     text = files.lists_as_text(made)
     back = files.text_as_lists(text.withColumn("again", F.col("w")), ["again"])
     return back.select(
-        "item_id",
+        "doc_id",
         F.col("w").alias("joined"),
         F.size("again").cast("long").alias("parts"),
         F.get("again", F.lit(1)).alias("second_part"),
@@ -150,11 +161,11 @@ def list_strings(spark, sf):
 
 @query(
     "word_list_file",
-    f"SELECT DISTINCT w AS entry FROM (SELECT unnest({split_words('lower(text)')}) AS w FROM benchmark)",
+    f"SELECT DISTINCT w AS entry FROM (SELECT unnest({split_words('lower(text)')}) AS w FROM documents)",
 )
 def word_list_file(spark, sf):
     path = scratch_path(spark, "words")
-    listed = table(spark, sf, "benchmark").select(F.explode(features.words(F.lower("text"))).alias("value"))
+    listed = documents(spark, sf).select(F.explode(features.words(F.lower("text"))).alias("value"))
     listed.write.text(path)
     return files.word_list(spark, path)
 

@@ -25,7 +25,6 @@ from textmill.functions import clean, fixed, html, rulechain, rules, stem
 from textmill.functions import tokens as tok
 from textmill.functions.expressions import explode_rows, inline_rows
 from textmill.operators import eda, ngrams, sentences, vocabulary
-from textmill.operators.shape import shorter_than
 from textmill.sources.tables import table
 
 # Messages around the given texts, so that greetings, closings and rules have something to match.
@@ -300,7 +299,14 @@ def html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.html_text(F.col("html")).alias("text"))
 
 
-@query("html_text_with_code")
+CODE_SQL = "replace(html, '</p><p>', '</p>.' || chr(10) || '<p>')"
+for _pattern in (r"(?s)<!--.*?-->", r"(?s)<[A-Za-z/!][^>]*>"):
+    CODE_SQL = replaced(CODE_SQL, _pattern)
+for _entity, _char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    CODE_SQL = f"replace({CODE_SQL}, '&{_entity};', {quoted(_char)})"
+
+
+@query("html_text_with_code", f"SELECT page_id, {CODE_SQL} AS text FROM pages")
 def html_text_with_code(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.html_text(F.col("html"), keep_code=True).alias("text"))
 
@@ -414,12 +420,13 @@ def legacy_clean(spark, sf):
 
 @query("thread_extract_clean")
 def thread_extract_clean(spark, sf):
-    """Subject and body of each message, long form, cleaned, without rows that are too long."""
+    """Subject and body of each message, long form, cleaned, with their lengths; long rows are flagged, not dropped."""
     from textmill.operators.shape import melt, not_null
 
     long = melt(not_null(letters(spark, sf), "role", "text"), ["doc_id"], ["role", "text"], "category", "content")
     cleaned = long.withColumn("content", clean.clean_legacy(F.col("content")))
-    return shorter_than(cleaned.filter("content IS NOT NULL"), "content", 5000)
+    count = F.length("content")
+    return cleaned.filter("content IS NOT NULL").withColumns({"char_count": count, "less_than_5000": count < 5000})
 
 
 @query("serving_tokens")

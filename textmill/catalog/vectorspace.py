@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textmill.catalog.registry import query
 from textmill.catalog.relational import documents
+from textmill.functions import tokens as tok
 from textmill.catalog.sql import in_list, quoted, tokens
 from textmill.catalog.text import LOWER_TOKENS, tokenized
 from textmill.functions.expressions import explode_rows, inline_rows
@@ -214,7 +215,7 @@ def topic_distribution(spark, sf):
 
 
 GATE_LONG = """(SELECT vec_id AS doc_id, i - 1 AS pred_index, p FROM (SELECT vec_id, unnest(embedding) AS p,
-    generate_subscripts(embedding, 1) AS i FROM embeddings) WHERE p >= 0.05 AND i <= 10)"""
+    generate_subscripts(embedding, 1) AS i FROM embeddings) WHERE p >= 0.05)"""
 
 
 @query(
@@ -227,7 +228,7 @@ GATE_LONG = """(SELECT vec_id AS doc_id, i - 1 AS pred_index, p FROM (SELECT vec
 )
 def language_gate(spark, sf):
     long = topics.all_topics(
-        given_vectors(spark, sf).select(F.col("vec_id").alias("doc_id"), F.slice("v", 1, 10).alias("v")), "v", 0.05
+        given_vectors(spark, sf).select(F.col("vec_id").alias("doc_id"), "v"), "v", 0.05
     )
     foreign = F.col("text").like("The%") | F.col("text").like("And%")
     return language.gate(documents(spark, sf).select("doc_id", "text"), long, "doc_id", [5, 7], foreign).drop("text")
@@ -241,7 +242,7 @@ def language_gate(spark, sf):
 )
 def topic_words_join(spark, sf):
     """Words of a group joined with the size of the group, as topic words join topic shares."""
-    docs = tokenized(spark, sf).join(documents(spark, sf).select("doc_id", "lang"), "doc_id")
+    docs = documents(spark, sf).select("lang", tok.tokenize(F.lower("text")).alias("tokens"))
     words = explode_rows(docs, ["lang"], F.col("tokens"), "word").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     sizes = documents(spark, sf).groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
     return words.join(sizes, "lang").select(

@@ -126,8 +126,8 @@ def topic_names(spark, names: Mapping[int, str] | Sequence[str]) -> DataFrame:
 
 
 def with_label(predictions: DataFrame, names: DataFrame) -> DataFrame:
-    """Add the topic name, null where the topic has none; there is one row per topic."""
-    return predictions.join(F.broadcast(names), "pred_index", "left")
+    """Add the topic name, null where the topic has none."""
+    return predictions.join(names, "pred_index", "left")
 
 
 def best_topics(df: DataFrame, vector: str, threshold: float = 0.0) -> DataFrame:

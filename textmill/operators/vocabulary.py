@@ -122,12 +122,19 @@ def with_vectors(
     return made.mapInArrow(lambda batches: batches, StructType([*fields, StructField(output, VectorUDT())]))
 
 
-def only_top_words(df: DataFrame, key: str, tokens: str, listed: DataFrame, output: str) -> DataFrame:
+def only_top_words(
+    df: DataFrame, key: str, tokens: str, listed: DataFrame, output: str, how: str = "left_semi"
+) -> DataFrame:
     """Keep only listed tokens, in order, for a list of any size: semi join and re-collection per row."""
     numbered = F.transform(tokens, lambda t, i: F.struct(i.alias("_pos"), t.alias("token")))
     placed = inline_rows(df, [key], numbered)
-    kept = placed.join(listed.select("token"), "token", "left_semi")
+    kept = placed.join(listed.select("token"), "token", how)
     again = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_kept"))
     joined = df.join(again, key, "left")
     values = F.coalesce(F.transform("_kept", lambda x: x["token"]), F.array().cast("array<string>"))
     return joined.withColumn(output, values).drop("_kept")
+
+
+def without_listed(df: DataFrame, key: str, tokens: str, listed: DataFrame, output: str) -> DataFrame:
+    """Drop listed tokens, such as stop words, for a list of any size."""
+    return only_top_words(df, key, tokens, listed, output, "left_anti")

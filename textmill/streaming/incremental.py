@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+RECENT = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 def process_new_files(
     spark: SparkSession,
@@ -25,6 +27,9 @@ def process_new_files(
     arriving = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
+    # the query keeps its latest progress records only; all of them are summed here
+    kept = spark.conf.get(RECENT)
+    spark.conf.set(RECENT, str(2**31 - 1))
     running = (
         transform(arriving)
         .writeStream.format("parquet")
@@ -33,5 +38,6 @@ def process_new_files(
         .trigger(availableNow=True)
         .start()
     )
+    spark.conf.set(RECENT, kept)
     running.awaitTermination()
     return sum(p["numInputRows"] for p in running.recentProgress)
