@@ -204,7 +204,10 @@ def test_cosine_pairs_equal_brute_force(spark, threshold):
 
 def test_representatives(spark):
     df = frame(spark, [(3, ["a", "b"]), (1, ["b", "a"]), (2, ["a", "a", "b"])])
+    pairs = [(r.representative, r.member) for r in tfidf.members(df, "id", "t").collect()]
+    assert sorted(m for _, m in pairs) == sorted(r.id for r in df.collect())
     found = sorted((r.representative, r.copies) for r in tfidf.representatives(df, "id", "t").collect())
+    assert found == sorted(Counter(r for r, _ in pairs).items())
     assert found == [(1, 2), (2, 1)]
 
 

@@ -154,6 +154,15 @@ def cosine_pairs(spark, sf):
     return tfidf.cosine_pairs(vectors, "doc_id", 0.8)
 
 
+@query(
+    "equal_documents",
+    f"""SELECT min(doc_id) OVER (PARTITION BY bag) AS representative, doc_id AS member
+    FROM (SELECT doc_id, list_sort({LOWER_TOKENS}) AS bag FROM documents)""",
+)
+def equal_documents(spark, sf):
+    return tfidf.members(tokenized(spark, sf), "doc_id", "tokens")
+
+
 # --- given topic vectors ---------------------------------------------------------------------
 
 
