@@ -630,16 +630,15 @@ def trigram_collocations(spark, sf):
 
 @query(
     "combined_ngrams",
-    f"""WITH bi AS ({BIGRAM_SQL}), tri AS ({TRIGRAM_SQL}) SELECT doc_id,
-    len(list_filter({LOWER_TOKENS}, lambda x: x NOT IN {in_list(STOP)}))
-    + coalesce((SELECT count(*) FROM bi WHERE bi.doc_id = documents.doc_id AND ngram NOT IN {in_list(STOP)}), 0)
-    + coalesce((SELECT count(*) FROM tri WHERE tri.doc_id = documents.doc_id AND ngram NOT IN {in_list(STOP)}), 0) AS n_grams
-    FROM documents""",
+    f"""WITH bi AS (SELECT doc_id, list(ngram ORDER BY rank) AS b FROM ({BIGRAM_SQL}) GROUP BY doc_id),
+    tri AS (SELECT doc_id, list(ngram ORDER BY rank) AS t FROM ({TRIGRAM_SQL}) GROUP BY doc_id)
+    SELECT doc_id, array_to_string(list_filter(list_concat(list_concat({LOWER_TOKENS}, coalesce(b, [])), coalesce(t, [])),
+    lambda x: x NOT IN {in_list(STOP)}), '|') AS ngrams
+    FROM documents LEFT JOIN bi USING (doc_id) LEFT JOIN tri USING (doc_id)""",
 )
 def combined_ngrams(spark, sf):
     made = ngrams.with_collocations(tokenized(spark, sf), "doc_id", "tokens")
-    kept = F.size(tok.remove_stopwords(F.col("ngrams"), STOP))
-    return made.select("doc_id", kept.cast("long").alias("n_grams"))
+    return made.select("doc_id", F.array_join(tok.remove_stopwords(F.col("ngrams"), STOP), "|").alias("ngrams"))
 
 
 @query("stem_tokens_danish")
