@@ -224,6 +224,24 @@ def kmeans_elbow(spark, sf):
     return clusters.elbow(vectors(spark, sf), ELBOW)
 
 
+@query(
+    "kmeans_one_centre",
+    f"""WITH t AS (SELECT doc_id, unnest({tokens('lower(text)')}) AS token FROM documents),
+    f AS (SELECT doc_id, token, count(*) AS tf FROM t GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents),
+    s AS (SELECT token, count(*) AS df FROM f GROUP BY token),
+    w AS (SELECT doc_id, token, tf * (ln((1.0 + n) / (1 + df)) + 1) AS weight FROM f JOIN s USING (token), n
+      WHERE df >= 5 AND df <= floor(0.8 * n)),
+    x AS (SELECT doc_id, token, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS v FROM w),
+    m AS (SELECT token, sum(v) / any_value(n) AS c FROM x, n GROUP BY token),
+    d AS (SELECT doc_id, sum(v * v) AS vv, sum(v * c) AS vc FROM x JOIN m USING (token) GROUP BY doc_id)
+    SELECT 1 AS k, round(avg(sqrt(greatest(coalesce(vv, 0) - 2 * coalesce(vc, 0) + (SELECT sum(c * c) FROM m), 0))), 6) AS distortion
+    FROM documents LEFT JOIN d USING (doc_id)""",
+)
+def kmeans_one_centre(spark, sf):
+    """The elbow at one cluster, whose centre is the mean vector."""
+    return clusters.elbow(vectors(spark, sf), (1,)).withColumn("distortion", F.round("distortion", 6))
+
+
 @query("kmeans_labels")
 def kmeans_labels(spark, sf):
     made = vectors(spark, sf).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)

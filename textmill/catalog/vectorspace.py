@@ -290,23 +290,35 @@ def umass_coherence(spark, sf):
     return coherence.umass(tokenized(spark, sf), "tokens", WORD_LISTS).withColumn("coherence", F.round("coherence", 6))
 
 
-@query(
-    "window_counts",
-    f"""WITH d AS (SELECT doc_id, {LOWER_TOKENS} AS w FROM documents),
+WINDOWS = f"""WITH d AS (SELECT doc_id, {LOWER_TOKENS} AS w FROM documents),
     t AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos, greatest(1, len(w) - 109) AS n FROM d),
     h AS (SELECT DISTINCT doc_id, token, s FROM (SELECT doc_id, token, unnest(range(greatest(1, pos - 109), least(n, pos) + 1)) AS s
       FROM t WHERE token IN {_EVERY}))
     SELECT a.token AS "first", b.token AS "second", count(*) AS n FROM h a JOIN h b USING (doc_id, s) GROUP BY ALL
-    UNION ALL SELECT '', '', sum(greatest(1, len(w) - 109))::BIGINT FROM d WHERE len(w) > 0""",
-)
+    UNION ALL SELECT '', '', sum(greatest(1, len(w) - 109))::BIGINT FROM d WHERE len(w) > 0"""
+
+
+@query("window_counts", WINDOWS)
 def window_counts(spark, sf):
     listed = sorted({w for words in WORD_LISTS for w in words})
     return coherence.window_counts(tokenized(spark, sf), "tokens", listed)
 
 
-@query("cv_coherence")
+@query(
+    "cv_coherence",
+    f"""WITH c AS ({WINDOWS}), l AS (SELECT * FROM {_LISTED}), w AS (SELECT n AS total FROM c WHERE "first" = '' AND "second" = ''),
+    s AS (SELECT "first" AS word, n / total AS p FROM c, w WHERE "first" = "second" AND "first" <> ''),
+    pairs AS (SELECT a.topic, a.r AS r, b.r AS q, coalesce(c.n / total, 0) + 1e-12 AS joint, x.p AS pa, y.p AS pb
+      FROM l a JOIN l b USING (topic) CROSS JOIN w LEFT JOIN c ON c."first" = a.w AND c."second" = b.w
+      LEFT JOIN s x ON x.word = a.w LEFT JOIN s y ON y.word = b.w),
+    v AS (SELECT topic, r, q, CASE WHEN pa IS NULL OR pb IS NULL THEN 0 ELSE ln(joint / (pa * pb)) / -ln(joint) END AS v FROM pairs),
+    whole AS (SELECT topic, q, sum(v) AS w FROM v GROUP BY topic, q),
+    cosines AS (SELECT topic, r, CASE WHEN sum(v * v) * sum(w * w) > 0 THEN sum(v * w) / (sqrt(sum(v * v)) * sqrt(sum(w * w))) ELSE 0 END AS cosine
+      FROM v JOIN whole USING (topic, q) GROUP BY topic, r)
+    SELECT topic, round(avg(cosine), 6) AS coherence FROM cosines GROUP BY topic""",
+)
 def cv_coherence(spark, sf):
-    return coherence.c_v(tokenized(spark, sf), "tokens", WORD_LISTS)
+    return coherence.c_v(tokenized(spark, sf), "tokens", WORD_LISTS).withColumn("coherence", F.round("coherence", 6))
 
 
 @query(
