@@ -1,8 +1,8 @@
 """Fuzzy line deduplication: of each group of similar lines of the corpus one stays.
 
 A line is what stands between line feeds; blank lines are left alone. Its set holds the hashes of all runs of 12 bytes, A-Z in lower
-case; a shorter line has one hash of the whole. Minima of 36 universal hashes in 12 bands of 3 find 99.98 % of the pairs with a
-similarity of 0.8. Equal lines share one digest and are one node. Pairs are drawn by rounds (see `links`) and confirmed by exact
+case; a shorter line has one hash of the whole. Minima of 40 universal hashes in 10 bands of 4 find 99.5 % of the pairs with a
+similarity of 0.8 and 99.9 % at 0.85. Equal lines share one digest and are one node. Pairs are drawn by rounds (see `links`) and confirmed by exact
 Jaccard similarity; components come from a distributed union-find of star operations. The first line of a component, by
 document id and line number, stays.
 
@@ -27,7 +27,7 @@ from textmill.llm.common import stored
 from textmill.llm.links import Threshold, similar_components
 
 RUN = 12
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 10, 4
 SLICE = 1 << 17
 #: digests that a task remembers, so as not to repeat the bands of a common line
 SEEN = 200_000
@@ -66,24 +66,20 @@ def _lines(minima: shingles.Minima, units: list[tuple[int, int, bytes]]) -> tupl
     firsts = np.searchsorted(starts, begins)
     numbers = np.arange(len(starts)) - firsts[unit] + np.array([u[1] for u in units])[unit]
     places = np.array([u[0] for u in units])[unit]
-    marks = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum((raw != np.uint8(32)) & ((raw < np.uint8(9)) | (raw > np.uint8(13))), out=marks[1:])
-    full = marks[ends] > marks[starts]
-    starts, ends = starts[full], ends[full]
+    some = ends > starts
+    starts, ends, places, numbers = starts[some], ends[some], places[some], numbers[some]
+    if len(starts):
+        marks = (raw != np.uint8(32)) & ((raw < np.uint8(9)) | (raw > np.uint8(13)))
+        bounds = np.stack([starts, ends], axis=1).ravel()
+        full = np.logical_or.reduceat(np.append(marks, False), bounds)[::2]
+        starts, ends, places, numbers = starts[full], ends[full], places[full], numbers[full]
     if not len(starts):
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros((0, BANDS), np.int64), np.zeros((0, BANDS * (ROWS + 4)), np.uint8)
-    runs, stops = shingles.char_windows(raw, starts, ends, RUN)
-    bounds = np.stack([starts, stops], axis=1).ravel()
-    odd = shingles.constants(2, 7)
-    length = (ends - starts).astype(np.uint64)
-    total = np.add.reduceat(runs, bounds)[::2]
-    # positions count from 1 at the line's start
-    placed = np.add.reduceat(runs * np.arange(1, len(runs) + 1, dtype=np.uint64), bounds)[::2] - total * starts.astype(np.uint64)
-    digest = shingles.mix(placed * odd[0] + length)
-    second = shingles.mix(total * odd[1] + length)
+        return empty, empty, empty, empty, np.zeros((0, BANDS), np.int64), np.zeros((0, BANDS * ROWS), np.uint8)
+    runs, stops, digest = shingles.char_windows(raw, starts, ends, RUN)
     keys, sigs = minima.of_windows(runs, starts, stops)
-    return places[full], numbers[full], digest.view(np.int64), second.view(np.int64), keys, sigs
+    second = shingles.mix(keys.view(np.uint64).sum(axis=1, dtype=np.uint64))
+    return places, numbers, digest.view(np.int64), second.view(np.int64), keys, sigs
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,10 +140,10 @@ def removed_lines(docs: DataFrame, parts: int = 80, whole: int = 100) -> DataFra
     lines = signed.select("doc_id", "line", "id", "mark")
     fresh = signed.filter(F.size("keys") > 0)
     labels = similar_components(
-        fresh.select(F.posexplode("keys").alias("band", "key"), "id"),
-        fresh.select("id", F.lit(1).alias("n"), "sig").groupBy("id").agg(F.first("n").alias("n"), F.first("sig").alias("sig")),
+        fresh.select(F.explode("keys").alias("key"), "id"),
+        fresh.select("id", F.lit(1).alias("n"), "sig", "keys"),
         _texts(texts, lines),
-        Threshold(parts, whole, BANDS, ROWS),
+        Threshold(parts, whole, BANDS * ROWS),
         partial(shingles.char_sets, size=RUN),
     )
     if labels is None:
@@ -157,11 +153,10 @@ def removed_lines(docs: DataFrame, parts: int = 80, whole: int = 100) -> DataFra
             {"group": F.coalesce("component", "id"), "same": F.when(F.col("component").isNull(), F.col("mark")).otherwise(0)}
         )
     grouped = grouped.select("doc_id", "line", "group", "same")
-    firsts = (
-        grouped.groupBy("group", "same")
-        .agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("count"))
-        .filter(F.col("count") > 1)
+    firsts = grouped.groupBy("group", "same").agg(
+        F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("count")
     )
+    firsts = stored(firsts.filter(F.col("count") > 1), "firsts")
     gone = grouped.join(firsts, ["group", "same"]).filter(~F.struct("doc_id", "line").eqNullSafe(F.col("first")))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 

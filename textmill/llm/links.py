@@ -10,8 +10,8 @@ about two items that are already in one component:
    and a member asks another component only until it finds one link to it. Blocks put out links, not candidates, and a text goes
    to a block, not to a pair.
 
-So no link between components is missed among items that share a bucket, up to the error of the estimate, which is set at
-4.5 standard deviations below the threshold. Rounds work on tables below the shared folder.
+So no link between components is missed among items that share a bucket, up to the error of the estimate, which is allowed
+4 standard deviations (one link in 30,000 at the threshold). Rounds work on tables below the shared folder.
 """
 
 from __future__ import annotations
@@ -40,18 +40,13 @@ class Threshold:
 
     parts: int
     whole: int
-    bands: int
-    rows: int
-
-    @property
-    def minima(self) -> int:
-        return self.bands * self.rows
+    minima: int
 
     @property
     def least_agreeing(self) -> int:
         """Equal minima below which a link is excluded."""
         t = self.parts / self.whole
-        return int(self.minima * (t - 4.5 * sqrt(t * (1 - t) / self.minima)))
+        return int(self.minima * (t - 4 * sqrt(t * (1 - t) / self.minima)))
 
     def met(self, one: np.ndarray, other: np.ndarray) -> bool:
         if min(len(one), len(other)) * self.whole < self.parts * max(len(one), len(other)):
@@ -70,8 +65,7 @@ def _likely(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                k = threshold.minima
-                agreeing = (_matrix(batch["hub_sig"])[:, :k] == _matrix(batch["sig"])[:, :k]).sum(axis=1)
+                agreeing = (_matrix(batch["hub_sig"]) == _matrix(batch["sig"])).sum(axis=1)
                 yield batch.filter(pa.array(agreeing >= threshold.least_agreeing)).select(["hub", "id"])
 
     return run
@@ -97,28 +91,56 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-class _Block:
-    """One side of a block, and which of its members another one may be linked with."""
+def _aligned(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Pieces of a sorted stream that end where a key ends, with the bounds of the runs of equal keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        piece = pa.Table.from_batches([*held, batch]).combine_chunks()
+        columns = np.stack([piece[k].to_numpy() for k in keys])
+        starts = np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1
+        if not len(starts):
+            held = piece.to_batches()
+            continue
+        yield piece.slice(0, starts[-1]), np.concatenate(([0], starts))
+        held = piece.slice(starts[-1]).to_batches()
+    if held:
+        piece = pa.Table.from_batches(held).combine_chunks()
+        yield piece, np.array([0, piece.num_rows])
+
+
+class _Members:
+    """The columns of a piece as arrays, and the likely pairs of its runs."""
+
+    def __init__(self, threshold: Threshold, rows: pa.Table) -> None:
+        self.threshold = threshold
+        self.key, self.ids, self.labels, self.sizes, self.main = (rows[c].to_numpy() for c in ("key", "id", "label", "n", "main"))
+        self.outside = rows["outside"].to_numpy().astype(bool)
+        self.minima = _matrix(rows["sig"])
+        self.keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(self.ids), -1)
 
-    def __init__(self, threshold: Threshold, band: int, rows: pa.Table) -> None:
-        self.threshold, self.band = threshold, band
-        self.ids, self.labels, self.sizes, self.main = (rows[c].to_numpy() for c in ("id", "label", "n", "main"))
-        sigs = _matrix(rows["sig"])
-        self.minima = sigs[:, : threshold.minima]
-        self.tags = np.ascontiguousarray(sigs[:, threshold.minima :]).view(np.uint32)
+    def sides(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of a run that ask, and rows that are asked."""
+        outside = self.outside[start:end]
+        return np.flatnonzero(outside) + start, np.flatnonzero(~outside) + start
 
-    def likely(self, other: _Block, i: int) -> np.ndarray:
-        """Members of the other side that item i may have a link with, best estimates first."""
+    def likely(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Rows among the others that row i may have a link with, best estimates first."""
         t = self.threshold
-        fit = np.flatnonzero(
-            (other.labels != self.labels[i])
-            & ((other.labels == other.main) | (other.ids > self.ids[i]))
-            & (np.minimum(other.sizes, self.sizes[i]) * t.whole >= t.parts * np.maximum(other.sizes, self.sizes[i]))
-        )
-        agreeing = (other.minima[fit] == self.minima[i]).sum(axis=1)
+        size = self.sizes[others]
+        fit = others[
+            (self.labels[others] != self.labels[i])
+            & ((self.labels[others] == self.main[i]) | (self.ids[others] > self.ids[i]))
+            & (np.minimum(size, self.sizes[i]) * t.whole >= t.parts * np.maximum(size, self.sizes[i]))
+        ]
+        if not len(fit):
+            return fit
+        agreeing = (self.minima[fit] == self.minima[i]).sum(axis=1)
         likely = agreeing >= t.least_agreeing
         fit, agreeing = fit[likely], agreeing[likely]
-        first = (other.tags[fit] == self.tags[i]).argmax(axis=1) == self.band
+        common = self.keys[fit] == self.keys[i]
+        first = self.keys[i][common.argmax(axis=1)] == self.key[i]  # the first band that both share is this bucket's
         return fit[first][np.argsort(-agreeing[first], kind="stable")]
 
 
@@ -126,47 +148,41 @@ def _asked(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     """Of each block the rows that take part in any likely pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs_of(batches, KEYS):
-            outside = group["outside"].to_numpy().astype(bool)
-            if outside.all() or not outside.any():
-                continue
-            band = group["band"][0].as_py()
-            rest = _Block(threshold, band, group.filter(pa.array(outside)))
-            others = _Block(threshold, band, group.filter(pa.array(~outside)))
-            asks, asked = np.zeros(len(rest.ids), bool), np.zeros(len(others.ids), bool)
-            for i in range(len(rest.ids)):
-                found = rest.likely(others, i)
-                asks[i] = len(found) > 0
-                asked[found] = True
-            if asks.any():
-                keep = np.zeros(len(outside), bool)
-                keep[np.flatnonzero(outside)[asks]] = True
-                keep[np.flatnonzero(~outside)[asked]] = True
-                yield from group.filter(pa.array(keep)).combine_chunks().to_batches()
+        for piece, bounds in _aligned(batches, KEYS):
+            members = _Members(threshold, piece)
+            keep = np.zeros(piece.num_rows, bool)
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                asking, others = members.sides(start, end)
+                for i in asking if len(others) else ():
+                    found = members.likely(i, others)
+                    if len(found):
+                        keep[i] = True
+                        keep[found] = True
+            yield from piece.filter(pa.array(keep)).combine_chunks().to_batches()
 
     return run
 
 
 def _block_links(threshold: Threshold, sets: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Exact links of each block; the sets of one side are held, the other side goes by one at a time."""
+    """Exact links of each block; the sets of the rows that are asked are held, the others go by one at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs_of(batches, KEYS):
-            outside = group["outside"].to_numpy().astype(bool)
-            if outside.all() or not outside.any():
-                continue
-            band = group["band"][0].as_py()
-            asking, answering = group.filter(pa.array(outside)), group.filter(pa.array(~outside))
-            rest, others = _Block(threshold, band, asking), _Block(threshold, band, answering)
-            held = list(sets(shingles.text_bytes(answering["text"])))
+        for piece, bounds in _aligned(batches, KEYS):
+            members = _Members(threshold, piece)
+            texts = piece["text"]
             out: tuple[list[int], list[int]] = ([], [])
-            for i, own in enumerate(sets(shingles.text_bytes(asking["text"]))):
-                joined = set()
-                for j in rest.likely(others, i).tolist():
-                    if others.labels[j] not in joined and threshold.met(held[j], own):
-                        joined.add(others.labels[j])
-                        out[0].append(int(others.ids[j]))
-                        out[1].append(int(rest.ids[i]))
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                asking, others = members.sides(start, end)
+                if not len(asking) or not len(others):
+                    continue
+                held = dict(zip(others.tolist(), sets(shingles.text_bytes(texts.take(others))), strict=True))
+                for i, own in zip(asking.tolist(), sets(shingles.text_bytes(texts.take(asking))), strict=True):
+                    joined = set()
+                    for j in members.likely(i, others).tolist():
+                        if members.labels[j] not in joined and threshold.met(held[j], own):
+                            joined.add(members.labels[j])
+                            out[0].append(int(members.ids[j]))
+                            out[1].append(int(members.ids[i]))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["hub", "id"])
 
     return run
@@ -225,7 +241,7 @@ def _open_blocks(shared: DataFrame, labels: DataFrame | None, sigs: DataFrame) -
     other_parts = F.ceil(F.col("all") / BLOCK)
     own = F.xxhash64("id")
     steps = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
-    keep = ["key", "band", "id", "label", "main", "n", "sig"]
+    keep = ["key", "id", "label", "main", "n", "sig", "keys"]
     outside = rows.filter(F.col("label") != F.col("main")).select(
         *keep, F.lit(1).alias("outside"), F.pmod(own, parts).cast("int").alias("part"), steps(other_parts).alias("other_part")
     )
@@ -244,15 +260,15 @@ def similar_components(
 ) -> DataFrame | None:
     """(id, component) of all items with a link; None if there is none.
 
-    buckets: (band, key, id), a row for each band of an item, repeats allowed. sigs: (id, n, sig), one row for an item. texts: from a
-    table of ids to (id, text).
+    buckets: (key, id), a row for each band of an item. sigs: (id, n, sig, keys). Both may repeat an item. texts: from a table of ids to
+    (id, text).
     """
     # what is joined with a hot key's rows is stored first, so that the join alone deals them and its skew can be split
     many = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     many = stored(many.filter(F.col("low") != F.col("high")).select("key"), "many")
-    shared = stored(buckets.join(many, "key").select("key", "band", "id").distinct(), "shared")
+    shared = stored(buckets.join(many.hint("shuffle_hash"), "key").select("key", "id").distinct(), "shared")
     ids = stored(shared.select("id").distinct(), "candidates")
-    sigs = stored(sigs.join(ids, "id"), "signatures")
+    sigs = stored(sigs.join(ids, "id").dropDuplicates(["id"]), "signatures")
     texts = stored(texts(ids), "texts")
     sizes = stored(shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "sizes")
     degrees = shared.join(sizes, "key").groupBy("id").agg(F.sum("m").alias("degree"))

@@ -60,7 +60,7 @@ def _signed(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBat
 
 def duplicate_groups(docs: DataFrame, size: int = 5, parts: int = 80, whole: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row: links are pairs of sets with a similarity of parts / whole."""
-    threshold = Threshold(parts, whole, BANDS, ROWS)
+    threshold = Threshold(parts, whole, BANDS * ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n long, d1 long, d2 long, keys array<long>, sig binary"
     signed = stored(texts.mapInArrow(_signed(size, BANDS, ROWS), schema), "minhash")
@@ -72,8 +72,8 @@ def duplicate_groups(docs: DataFrame, size: int = 5, parts: int = 80, whole: int
     chosen = linked.join(chosen, ["doc_id", *same], "left_semi").withColumnRenamed("doc_id", "id")
     wanted = texts.withColumnRenamed("doc_id", "id")
     labels = similar_components(
-        chosen.select(F.posexplode("keys").alias("band", "key"), "id"),
-        chosen.select("id", "n", "sig").dropDuplicates(["id"]),
+        chosen.select(F.explode("keys").alias("key"), "id"),
+        chosen.select("id", "n", "sig", "keys"),
         lambda ids: wanted.join(ids, "id", "left_semi").dropDuplicates(["id"]),
         threshold,
         partial(shingles.word_sets, size=size),

@@ -117,8 +117,15 @@ def word_sets(texts: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, U)
 
 
-def char_windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of runs of `size` bytes, A-Z in lower case, and for each non-empty part the ends of its window of hashes.
+def _spread(x: np.ndarray) -> np.ndarray:
+    """A cheaper bijection than `mix`, for hashes of short runs."""
+    return (x ^ (x >> U(29))) * U(0xBF58476D1CE4E5B9)
+
+
+def char_windows(
+    raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of runs of `size` bytes, A-Z in lower case; for each non-empty part the end of its window of hashes, and its own hash.
 
     A window starts at its part's start. A part shorter than a run has one hash, of the whole.
     """
@@ -126,12 +133,13 @@ def char_windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: in
     down = powers(len(raw) + 1)[1]
     runs = np.zeros(len(raw) + 1, U)
     whole = max(len(raw) - size + 1, 0)
-    runs[:whole] = mix((sums[size : size + whole] - sums[:whole]) * down[:whole])
+    runs[:whole] = _spread((sums[size : size + whole] - sums[:whole]) * down[:whole])
     few = ends - starts < size
     if few.any():
         first, last = starts[few], ends[few]
-        runs[first] = mix((sums[last] - sums[first]) * down[first] + constants(size, 5)[last - first - 1])
-    return runs, np.maximum(ends - size + 1, starts + 1)
+        runs[first] = _spread((sums[last] - sums[first]) * down[first] + constants(size, 5)[last - first - 1])
+    whole_parts = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
+    return runs, np.maximum(ends - size + 1, starts + 1), whole_parts
 
 
 def char_sets(lines: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
@@ -140,24 +148,26 @@ def char_sets(lines: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
         part = lines[first:last]
         bounds = np.concatenate(([0], np.cumsum(np.fromiter((len(x) for x in part), np.int64, len(part)))))
         full = np.flatnonzero(bounds[1:] > bounds[:-1])
-        runs, stops = char_windows(np.frombuffer(b"".join(part), np.uint8), bounds[full], bounds[full + 1], size)
+        runs, stops, _ = char_windows(np.frombuffer(b"".join(part), np.uint8), bounds[full], bounds[full + 1], size)
         at = dict(zip(full.tolist(), stops.tolist(), strict=True))
         for i in range(len(part)):
             yield np.unique(runs[bounds[i] : at[i]]) if i in at else runs[:0]
 
 
 class Minima:
-    """Signatures: the minima of `bands * rows` universal hashes (a * x + b modulo 2^64) of a set."""
+    """Signatures: the minima of `bands * rows` universal hashes (a * x + b modulo 2^32, a odd) of the upper halves of a set."""
 
     def __init__(self, bands: int, rows: int, seed: int = 11) -> None:
         self.bands, self.rows = bands, rows
-        self.factors, self.shifts = constants(bands * rows, seed), constants(bands * rows, seed + 1)
+        self.factors, self.shifts = (
+            (constants(bands * rows, s) >> U(31)).astype(np.uint32) | np.uint32(1) for s in (seed, seed + 1)
+        )
         self.keys = constants(bands * rows, seed + 2).reshape(bands, rows)
         self.names = constants(bands, seed + 3)
 
     def of(self, sets: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Of non-empty sets: a 64-bit key for each band; one byte of each minimum and four of each key as a signature."""
-        least = np.empty((len(sets), len(self.factors)), U)
+        """Of non-empty sets: a 64-bit key for each band, and one byte of each minimum as a signature."""
+        least = np.empty((len(sets), len(self.factors)), np.uint32)
         start = 0
         while start < len(sets):
             end, held = start, 0
@@ -172,22 +182,22 @@ class Minima:
     def of_windows(self, values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same of windows of an array that ends with a spare value."""
         bounds = np.stack([starts, stops], axis=1).ravel()
-        least = np.empty((len(bounds), len(self.factors)), U)
+        least = np.empty((len(bounds), len(self.factors)), np.uint32)
         self._least(values, bounds, least)
-        return self._banded(least[::2].copy())
+        return self._banded(least[::2])
 
     def _least(self, values: np.ndarray, bounds: np.ndarray, out: np.ndarray) -> None:
-        work = np.empty_like(values)
+        upper = (values >> U(32)).astype(np.uint32)
+        work = np.empty_like(upper)
         for i in range(len(self.factors)):
-            np.multiply(values, self.factors[i], out=work)
+            np.multiply(upper, self.factors[i], out=work)
             np.add(work, self.shifts[i], out=work)
             out[:, i] = np.minimum.reduceat(work, bounds)
 
     def _banded(self, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        least = mix(least)
+        least = mix(least.astype(U))
         keys = mix((least.reshape(len(least), self.bands, self.rows) * self.keys).sum(axis=2, dtype=U) + self.names)
-        tags = (keys & U(0xFFFFFFFF)).astype(np.uint32)
-        return keys.view(np.int64), np.hstack([(least & U(0xFF)).astype(np.uint8), tags.view(np.uint8)])
+        return keys.view(np.int64), (least & U(0xFF)).astype(np.uint8)
 
 
 def shared(one: np.ndarray, other: np.ndarray) -> int:
