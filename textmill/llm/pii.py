@@ -24,12 +24,13 @@ from textmill.functions.expressions import let
 KEY = "textmill-pseudonyms-1"
 ROUNDS = 8
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
+UPPER_HEX = HEX.upper()
 
 # The patterns of the formats.
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<=(?:token|key|secret|password)[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?)[0-9a-f]{16,}(?![0-9A-Za-z])",
+    "secret": r"(?<=(?i:token|key|secret|password)[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?)(?:[0-9a-f]{16,}|[0-9A-F]{16,})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "card": r"(?<![0-9])(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{13,19})(?![0-9])",
@@ -264,7 +265,8 @@ SHAPES = {k: "^(?:" + FORMATS[k] + r")\z" for k in MAKERS}
 
 def pseudonym(value: Column, key: str = KEY, back: bool = False) -> Column:
     """The pseudonym of one found value; a value that is not valid stays."""
-    out = feistel_text(value, (HEX,), "secret", key, back)
+    upper = feistel_text(value, (UPPER_HEX,), "secret", key, back)
+    out = F.when(value.rlike("[A-F]"), upper).otherwise(feistel_text(value, (HEX,), "secret", key, back))
     for kind in reversed(MAKERS):
         out = F.when(value.rlike(SHAPES[kind]), MAKERS[kind](value, key, back)).otherwise(out)
     return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm import licences, linededup, minhash, mixing, packing, pii, sharding, topk, toxicity, vectors
 from textmill.llm.common import table
-from textmill.llm.sql import OP8_SQL, OP9_SQL, OP10_SQL
+from textmill.llm.sql import OP1_SQL, OP4_SQL, OP8_SQL, OP9_SQL, OP10_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +40,8 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
     """Licences that a document is or holds as a whole paragraph or line."""
-    return licences.scanned(table(spark, folder, "documents"))
+    found = licences.scanned(table(spark, folder, "documents"))
+    return found.withColumn("licenses", F.array_join("licenses", ","))
 
 
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,4 +88,10 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_vectors": op10_vectors,
 }
-ORACLES: dict[str, str] = {"op8_topk": OP8_SQL, "op9_mixing": OP9_SQL, "op10_vectors": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op1_minhash": OP1_SQL,
+    "op4_licences": OP4_SQL,
+    "op8_topk": OP8_SQL,
+    "op9_mixing": OP9_SQL,
+    "op10_vectors": OP10_SQL,
+}

@@ -1,5 +1,10 @@
 """DuckDB statements of the queries."""
 
+from __future__ import annotations
+
+from textmill.catalog.sql import quoted
+from textmill.llm import licences
+
 OP9_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
@@ -63,3 +68,64 @@ SELECT e.vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS BIG
   e.vec_id = g.component_id AS kept
 FROM embeddings e JOIN groups g USING (vec_id)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a, b FROM ways UNION SELECT r.a, l.b FROM reach r JOIN ways l ON r.b = l.a
+), groups AS (
+  SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN groups USING (doc_id)
+"""
+
+
+def _canonical(text: str) -> str:
+    """The canonical form of a unit, with groups in place of look-ahead."""
+    out = f"lower({text})"
+    steps = [
+        (r"(?m)^[^\p{L}\p{N}(©\n]*(?:copyright\b|\(c\)|©)[^\n]*$", " "),
+        (r"(?m)^[^\p{L}\p{N}_]*all rights reserved[^\p{L}\p{N}_]*$", " "),
+        *[(p, r) for p, r in licences.SPELLINGS if "(?=" not in p],
+        (r"\b(?:version\s+|v\.?\s?)([0-9])", r"version \1"),
+        (r"[^\p{L}\p{N}]+", " "),
+    ]
+    for pattern, replacement in steps:
+        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
+    return f"trim({out})"
+
+
+_KNOWN = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licences.KNOWN)
+
+OP4_SQL = rf"""
+WITH known AS (
+  SELECT DISTINCT license, {_canonical('t')} AS form FROM (VALUES {_KNOWN}) k(license, t)
+), texts AS (
+  SELECT doc_id, text, regexp_replace(text, '\r\n?', chr(10), 'g') AS t FROM documents WHERE text IS NOT NULL
+), units AS (
+  SELECT doc_id, text AS unit, true AS whole FROM texts
+  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(t, '\n[ \t]*\n\s*')), false FROM texts
+  UNION ALL SELECT doc_id, unnest(string_split(t, chr(10))), false FROM texts
+), hits AS (
+  SELECT u.doc_id, u.whole, k.license FROM (SELECT doc_id, whole, {_canonical('unit')} AS form FROM units) u JOIN known k USING (form)
+), found AS (
+  SELECT doc_id, max(license) FILTER (whole) AS whole, list_sort(list(DISTINCT license)) AS licenses FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, f.whole, coalesce(array_to_string(f.licenses, ','), '') AS licenses FROM documents d LEFT JOIN found f USING (doc_id)
+"""
