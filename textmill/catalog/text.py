@@ -413,12 +413,37 @@ def rule_clean_masked(spark, sf):
     return letters(spark, sf).select("doc_id", clean.clean_full(F.col("text"), "masked").alias("text"))
 
 
-@query("legacy_clean")
+def legacy_sql(source: str, keys: str, markup: str) -> str:
+    """The older preparation of a column of texts or markup, step by step."""
+    literals = "text"
+    for old, new in fixed.LITERALS_OLDER:
+        literals = f"replace({literals}, {quoted(old)}, {quoted(new)})"
+    older = f"""CASE WHEN regexp_matches({ascii_shape('t')}, {quoted(fixed.SIGN_OFF_OLDER)})
+        THEN {stripped(f'substr(t, 1, position({OLDER_LINE} IN t) - 1)')} ELSE t END"""
+    steps = [f"lower({stripped('text')})", cut_greeting("text", fixed.GREETING_OLDER)]
+    later = [no_first_newline("text"), f"array_to_string({split_words('text')}, ' ')", literals, replaced("text", spaced(rules.EMAIL)), SHORT_SQL]
+    statement = f"SELECT {keys}, {markup} AS text FROM {source}"
+    for step in steps:
+        statement = f"SELECT {keys}, {step} AS text FROM ({statement})"
+    statement = f"SELECT {keys}, {older} AS text FROM (SELECT {keys}, text AS t FROM ({statement}))"
+    for step in later:
+        statement = f"SELECT {keys}, {step} AS text FROM ({statement})"
+    return statement
+
+
+@query("legacy_clean", legacy_sql("pages", "page_id", HTML_SQL))
 def legacy_clean(spark, sf):
     return table(spark, sf, "pages").select("page_id", clean.clean_legacy(F.col("html")).alias("text"))
 
 
-@query("thread_extract_clean")
+LONG_SQL = f"""(SELECT doc_id, 'role' AS category, role AS html FROM {LETTERS} UNION ALL SELECT doc_id, 'text', text FROM {LETTERS})"""
+
+
+@query(
+    "thread_extract_clean",
+    f"""SELECT doc_id, category, text AS content, CAST(length(text) AS INTEGER) AS char_count, length(text) < 5000 AS less_than_5000
+    FROM ({legacy_sql(LONG_SQL, 'doc_id, category', HTML_SQL)}) WHERE text IS NOT NULL""",
+)
 def thread_extract_clean(spark, sf):
     """Subject and body of each message, long form, cleaned, with their lengths; long rows are flagged, not dropped."""
     from textmill.operators.shape import melt, not_null
@@ -743,10 +768,9 @@ def sentence_tag_top(spark, sf):
 
 @query(
     "sentences_by_tag",
-    f"SELECT tag, count(*) AS n_sentences, sum(counts)::BIGINT AS occurrences FROM ({TAG_COUNTS}) GROUP BY tag",
+    f"SELECT tag, sentence FROM ({TAG_COUNTS})",
 )
 def sentences_by_tag(spark, sf):
+    """The listed sentences themselves, taken out of their lists."""
     listed = sentences.sentences_by_tag(_tagged(letters(spark, sf)), part_size=200)
-    return listed.groupBy("tag").agg(
-        F.sum(F.size("sentences")).alias("n_sentences"), F.sum("occurrences").alias("occurrences")
-    )
+    return listed.select("tag", F.explode("sentences").alias("sentence"))
