@@ -185,6 +185,6 @@ def test_vector_groups_against_brute_force(spark, monkeypatch):
 
 
 def test_threshold_is_exact():
-    t = links.Threshold(85, 100, 125)
+    t = links.Threshold(85, 100)
     one = np.arange(200, dtype=np.uint64)
     assert t.met(one, one[30:]) and not t.met(one, one[31:])

@@ -55,7 +55,7 @@ def _units(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
 
 
 def _lines(minima: shingles.Minima, units: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
-    """Places, line numbers, digests, second digests, band keys and signatures of the lines that are not blank."""
+    """Places, line numbers, digests, second digests and band keys of the lines that are not blank."""
     joined = b"\n".join(u[2] for u in units)
     raw = np.frombuffer(joined, np.uint8)
     feeds = np.flatnonzero(raw == np.uint8(10))
@@ -75,11 +75,11 @@ def _lines(minima: shingles.Minima, units: list[tuple[int, int, bytes]]) -> tupl
         starts, ends, places, numbers = starts[full], ends[full], places[full], numbers[full]
     if not len(starts):
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros((0, BANDS), np.int64), np.zeros((0, BANDS * ROWS), np.uint8)
+        return empty, empty, empty, empty, np.zeros((0, BANDS), np.int64)
     runs, stops, digest = shingles.char_windows(raw, starts, ends, RUN)
-    keys, sigs = minima.of_windows(runs, starts, stops)
+    keys = minima.of_windows(runs, starts, stops)
     second = shingles.mix(keys.view(np.uint64).sum(axis=1, dtype=np.uint64))
-    return places, numbers, digest.view(np.int64), second.view(np.int64), keys, sigs
+    return places, numbers, digest.view(np.int64), second.view(np.int64), keys
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +88,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch["doc_id"]
         for units in _units(shingles.text_bytes(batch["text"])):
-            places, numbers, digest, second, keys, sigs = _lines(minima, units)
+            places, numbers, digest, second, keys = _lines(minima, units)
             fresh = np.zeros(len(digest), bool)
             for i, value in enumerate(digest.tolist()):
                 if value not in seen:
@@ -97,7 +97,6 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(seen) > SEEN:
                 seen.clear()
             counts = np.concatenate(([0], np.cumsum(fresh * BANDS))).astype(np.int32)
-            marks = np.concatenate(([0], np.cumsum(fresh * sigs.shape[1]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(places)),
@@ -105,11 +104,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(digest),
                     pa.array(second),
                     pa.ListArray.from_arrays(pa.array(counts), pa.array(keys[fresh].ravel())),
-                    pa.Array.from_buffers(
-                        pa.binary(), len(digest), [None, pa.py_buffer(marks), pa.py_buffer(sigs[fresh].tobytes())]
-                    ),
                 ],
-                ["doc_id", "line", "id", "mark", "keys", "sig"],
+                ["doc_id", "line", "id", "mark", "keys"],
             )
 
 
@@ -135,15 +131,15 @@ def _texts(docs: DataFrame, lines: DataFrame) -> Callable[[DataFrame], DataFrame
 def removed_lines(docs: DataFrame, parts: int = 80, whole: int = 100) -> DataFrame:
     """(doc_id, removed): the numbers, from 0, of the lines that go from a document; documents that keep all are absent."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, line int, id long, mark long, keys array<long>, sig binary"
+    schema = "doc_id long, line int, id long, mark long, keys array<long>"
     signed = stored(texts.filter(F.col("text").isNotNull()).mapInArrow(_signed, schema), "lines")
     lines = signed.select("doc_id", "line", "id", "mark")
     fresh = signed.filter(F.size("keys") > 0)
     labels = similar_components(
         fresh.select(F.explode("keys").alias("key"), "id"),
-        fresh.select("id", F.lit(1).alias("n"), "sig", "keys"),
+        fresh.select("id", "keys"),
         _texts(texts, lines),
-        Threshold(parts, whole, BANDS * ROWS),
+        Threshold(parts, whole),
         partial(shingles.char_sets, size=RUN),
     )
     if labels is None:
@@ -164,7 +160,8 @@ def removed_lines(docs: DataFrame, parts: int = 80, whole: int = 100) -> DataFra
 def decisions(docs: DataFrame, parts: int = 80, whole: int = 100) -> DataFrame:
     """doc_id, n_lines, n_kept and the numbers of the removed lines of every row."""
     gone = removed_lines(docs, parts, whole).withColumnRenamed("doc_id", "owner")
-    rows = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)).cast("long").alias("n_lines"))
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    rows = docs.select("doc_id", F.coalesce(feeds + 1, F.lit(0)).cast("long").alias("n_lines"))
     rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("owner")), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return rows.select("doc_id", "n_lines", (F.col("n_lines") - F.size(removed)).alias("n_kept"), removed.alias("removed"))

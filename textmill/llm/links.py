@@ -32,6 +32,10 @@ from textmill.llm.components import components
 #: members of one bucket on either side of a block
 BLOCK = 512
 KEYS = ["key", "part", "other_part"]
+#: rows that are turned into arrays at a time
+PIECE = 2048
+#: minima of the signatures that candidates are compared on; they are made for candidates only
+CHECKS = 192
 
 
 @dataclass(frozen=True)
@@ -40,7 +44,7 @@ class Threshold:
 
     parts: int
     whole: int
-    minima: int
+    minima: int = CHECKS
 
     @property
     def least_agreeing(self) -> int:
@@ -61,6 +65,32 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
 
 
+def _described(sets: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The exact size of each candidate's set, and its signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        minima = shingles.Minima(1, CHECKS, seed=71)
+        for batch in batches:
+            texts = shingles.text_bytes(batch["text"])
+            for first, last in shingles.slices(texts):
+                found = list(sets(texts[first:last]))
+                sizes = np.array([len(s) for s in found], np.int64)
+                full = np.flatnonzero(sizes)
+                if not len(full):
+                    continue
+                _, sigs = minima.of([found[i] for i in full])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["id"].slice(first, last - first).take(pa.array(full)),
+                        pa.array(sizes[full]),
+                        pa.array([row.tobytes() for row in sigs], pa.binary()),
+                    ],
+                    ["id", "n", "sig"],
+                )
+
+    return run
+
+
 def _likely(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,9 +124,7 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 def _aligned(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Pieces of a sorted stream that end where a key ends, with the bounds of the runs of equal keys."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(at, PIECE) for b in batches for at in range(0, b.num_rows, PIECE)):
         piece = pa.Table.from_batches([*held, batch]).combine_chunks()
         columns = np.stack([piece[k].to_numpy() for k in keys])
         starts = np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1
@@ -256,20 +284,21 @@ def _placed(rows: DataFrame) -> DataFrame:
 
 
 def similar_components(
-    buckets: DataFrame, sigs: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: Threshold, sets: Callable
+    buckets: DataFrame, keys: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: Threshold, sets: Callable
 ) -> DataFrame | None:
     """(id, component) of all items with a link; None if there is none.
 
-    buckets: (key, id), a row for each band of an item. sigs: (id, n, sig, keys). Both may repeat an item. texts: from a table of ids to
-    (id, text).
+    buckets: (key, id), a row for each band of an item. keys: (id, keys), the keys of all its bands in order. Both may repeat an item. texts:
+    from a table of ids to (id, text).
     """
     # what is joined with a hot key's rows is stored first, so that the join alone deals them and its skew can be split
     many = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     many = stored(many.filter(F.col("low") != F.col("high")).select("key"), "many")
     shared = stored(buckets.join(many.hint("shuffle_hash"), "key").select("key", "id").distinct(), "shared")
     ids = stored(shared.select("id").distinct(), "candidates")
-    sigs = stored(sigs.join(ids, "id").dropDuplicates(["id"]), "signatures")
     texts = stored(texts(ids), "texts")
+    described = texts.mapInArrow(_described(sets), "id long, n long, sig binary")
+    sigs = stored(described.join(keys.join(ids, "id").dropDuplicates(["id"]), "id"), "signatures")
     sizes = stored(shared.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "sizes")
     degrees = shared.join(sizes, "key").groupBy("id").agg(F.sum("m").alias("degree"))
     hubs = shared.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", -F.col("id"), "id")).getField("id").alias("hub"))

@@ -37,11 +37,10 @@ def _signed(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBat
                 sets = list(shingles.word_sets(texts[first:last], size))
                 sizes = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(sizes)
-                keys, sigs = minima.of([sets[i] for i in full])
+                keys, _ = minima.of([sets[i] for i in full])
                 all_keys: list = [None] * len(sets)
-                all_sigs: list = [None] * len(sets)
                 for at, i in enumerate(full):
-                    all_keys[i], all_sigs[i] = keys[at], sigs[at].tobytes()
+                    all_keys[i] = keys[at]
                 digests = np.array([[s.sum(), shingles.mix(s * shingles.U(5)).sum()] for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -50,9 +49,8 @@ def _signed(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBat
                         pa.array(digests[:, 0]),
                         pa.array(digests[:, 1]),
                         pa.array(all_keys, pa.list_(pa.int64())),
-                        pa.array(all_sigs, pa.binary()),
                     ],
-                    ["doc_id", "n", "d1", "d2", "keys", "sig"],
+                    ["doc_id", "n", "d1", "d2", "keys"],
                 )
 
     return run
@@ -60,9 +58,9 @@ def _signed(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBat
 
 def duplicate_groups(docs: DataFrame, size: int = 5, parts: int = 80, whole: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row: links are pairs of sets with a similarity of parts / whole."""
-    threshold = Threshold(parts, whole, BANDS * ROWS)
+    threshold = Threshold(parts, whole)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n long, d1 long, d2 long, keys array<long>, sig binary"
+    schema = "doc_id long, n long, d1 long, d2 long, keys array<long>"
     signed = stored(texts.mapInArrow(_signed(size, BANDS, ROWS), schema), "minhash")
     same = ["n", "d1", "d2"]
     linked = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -73,7 +71,7 @@ def duplicate_groups(docs: DataFrame, size: int = 5, parts: int = 80, whole: int
     wanted = texts.withColumnRenamed("doc_id", "id")
     labels = similar_components(
         chosen.select(F.explode("keys").alias("key"), "id"),
-        chosen.select("id", "n", "sig", "keys"),
+        chosen.select("id", "keys"),
         lambda ids: wanted.join(ids, "id", "left_semi").dropDuplicates(["id"]),
         threshold,
         partial(shingles.word_sets, size=size),

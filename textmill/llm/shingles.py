@@ -179,12 +179,12 @@ class Minima:
             start = end
         return self._banded(least)
 
-    def of_windows(self, values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same of windows of an array that ends with a spare value."""
+    def of_windows(self, values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The keys of windows of an array that ends with a spare value."""
         bounds = np.stack([starts, stops], axis=1).ravel()
         least = np.empty((len(bounds), len(self.factors)), np.uint32)
         self._least(values, bounds, least)
-        return self._banded(least[::2])
+        return self._banded(least[::2])[0]
 
     def _least(self, values: np.ndarray, bounds: np.ndarray, out: np.ndarray) -> None:
         upper = (values >> U(32)).astype(np.uint32)
