@@ -184,6 +184,32 @@ def test_vector_groups_against_brute_force(spark, monkeypatch):
     assert vectors.duplicate_groups(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["isotropic", "low rank", "long axes"])
+def test_every_vector_link_is_found(spark, shape):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(1500, 8)) @ rng.normal(size=(8, 64)) if shape == "low rank" else rng.normal(size=(1500, 64))
+    near = base[:500] + (rng.normal(size=(500, 8)) @ rng.normal(size=(8, 64)) if shape == "low rank" else rng.normal(size=(500, 64))) * 0.4
+    made = np.concatenate([base, near]) / (np.arange(1, 65) if shape == "long axes" else 1)
+    made = made.astype(np.float32)
+    unit = made.astype(float) / np.linalg.norm(made.astype(float), axis=1, keepdims=True)
+    links_of = unit @ unit.T >= 0.9
+    np.fill_diagonal(links_of, False)
+    assert links_of.sum() > 500
+    sets = {i: i for i in range(len(made))}
+
+    def root(i):
+        while sets[i] != i:
+            i = sets[i]
+        return i
+
+    for a, b in np.argwhere(links_of).tolist():
+        one, other = root(a), root(b)
+        sets[max(one, other)] = min(one, other)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.duplicate_groups(df).collect()}
+    assert got == {i: (int(n), root(i)) for i, n in enumerate(links_of.sum(axis=1))}
+
+
 def test_threshold_is_exact():
     t = links.Threshold(85, 100)
     one = np.arange(200, dtype=np.uint64)

@@ -1,10 +1,13 @@
 """Near-duplicate vectors by spherical k-means cells.
 
 Centroids are fitted on a bounded sample with cosine distance. Every vector has a home cell, that of the nearest centroid, and visits the
-cells with smaller numbers whose border is so close that a vector at the threshold, displaced in a random direction, lies beyond it
-with a probability that two standard deviations bound (`REACH`). Cosine products are computed block by block between a cell's own
-vectors and between them and its visitors, so each pair is compared once at most. A block puts out counts and a spanning set of links,
-never pairs; links are joined by star operations, and the vector with the smallest id of a group is kept.
+cells with smaller numbers that a vector at the threshold can lie in: those whose border is at most the threshold's angle away. No link is
+lost, in whatever direction the vectors differ. Cosine products are computed block by block between a cell's own vectors and
+between them and its visitors, so each pair is compared once at most. A block puts out counts and a spanning set of links, never
+pairs; links are joined by star operations, and the vector with the smallest id of a group is kept.
+
+Vectors spread evenly in many dimensions are near all borders, so nearly all pairs are compared. Cells are therefore as large as blocks
+allow: the copies of a vector that are shuffled are one for each cell that it visits and one for each block that it is compared with.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of different lengths do not link with each
 other; equal vectors are collapsed first and count as linked with each other, repeated rows included; a null id links like any
@@ -14,7 +17,7 @@ other vector but has no component by itself; an empty table gives an empty resul
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from math import acos, ceil, sqrt, tan
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,12 @@ from textmill.llm.components import components
 from textmill.llm.links import runs_of
 
 SAMPLE = 50_000  # vectors that the centroids are fitted on, at most
-CELLS = 4096  # cells at most; otherwise the square root of the number of vectors
-REACH = 2.0
-BLOCK = 1024
+CELLS = 4096  # cells at most; otherwise as many as two cells to a block need
+FEWEST = 16  # cells at least, if there are so many vectors
+BLOCK = 8192  # vectors on either side of a block at most
+NUMBERS = 1 << 22  # components on either side of a block at most
+TILE = 512  # rows at a time
+SLACK = 1e-9  # for rounding
 KEYS = ["cell", "visiting", "left", "right"]
 
 
@@ -62,36 +68,40 @@ def _fitted(vectors: DataFrame, count: int, cells: int) -> np.ndarray:
 
 
 def _celled(centres: np.ndarray, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Every vector in its home cell and in the cells that it visits."""
-    reach = REACH * tan(acos(least)) / sqrt(max(centres.shape[1] - 1, 1))
+    """Every vector with its home cell and the cells that it visits.
+
+    A vector lies asin((best - near) / apart) from the border with another cell, and none of that cell is nearer to it.
+    """
+    reach = sqrt(1 - least * least) if least > 0 else 2.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 1e-12))
+        apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
+            for at in range(0, batch.num_rows, TILE):
+                part = batch.slice(at, TILE)
                 near = unit(matrix(part["vector"])) @ centres.T
                 home = near.argmax(axis=1)
                 best = near[np.arange(len(home)), home]
-                visits = (best[:, None] - near <= reach * apart[home]) & (np.arange(len(centres)) < home[:, None])
-                who, where = np.nonzero(visits)
-                rows = np.concatenate([np.arange(len(home)), who])
-                cells = np.concatenate([home, where]).astype(np.int32)
-                visiting = np.concatenate([np.zeros(len(home), np.int32), np.ones(len(who), np.int32)])
-                taken = part.take(pa.array(rows))
+                visits = (best[:, None] - near <= reach * apart[home] + SLACK) & (np.arange(len(centres)) < home[:, None])
+                ends = np.concatenate([[0], visits.sum(axis=1).cumsum()]).astype(np.int32)
+                cells = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(visits)[1].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells), pa.array(visiting), *(taken[c] for c in ("id", "weight", "vector"))],
-                    ["cell", "visiting", "id", "weight", "vector"],
+                    [pa.array(home.astype(np.int32)), cells, *(part[c] for c in ("id", "weight", "vector"))],
+                    ["home", "visits", "id", "weight", "vector"],
                 )
 
     return run
 
 
-def _dealt(celled: DataFrame) -> DataFrame:
+def _dealt(celled: DataFrame, block: int) -> DataFrame:
     """Rows of each pair of blocks: a cell's blocks with each other, and blocks of visitors with them."""
+    place = lambda cell, v: F.struct(cell.alias("cell"), F.lit(v).alias("visiting"))
+    places = F.concat(F.array(place(F.col("home"), 0)), F.transform("visits", lambda c: place(c, 1)))
     count = lambda v: F.count(F.when(F.col("visiting") == v, 1))
-    sizes = celled.groupBy("cell").agg(F.ceil(count(0) / BLOCK).cast("int").alias("homes"), F.ceil(count(1) / BLOCK).cast("int").alias("guests"))
-    rows = celled.join(sizes, "cell")
+    sizes = celled.select(F.explode(places).alias("place")).select("place.*").groupBy("cell")
+    sizes = sizes.agg(F.ceil(count(0) / block).cast("int").alias("homes"), F.ceil(count(1) / block).cast("int").alias("guests"))
+    rows = celled.select("id", "weight", "vector", F.explode(places).alias("place")).select("place.*", "id", "weight", "vector")
+    rows = rows.join(F.broadcast(sizes), "cell")
     steps = lambda a, b: F.filter(F.sequence(a, F.greatest(a, b)), lambda i: i <= b)
     own = F.pmod(F.xxhash64("id"), F.when(F.col("visiting") == 0, F.col("homes")).otherwise(F.col("guests"))).cast("int")
     rows = rows.withColumn("own", own)
@@ -124,23 +134,30 @@ def _linked(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             right = left if same else np.flatnonzero(side == 1)
             if not len(left) or not len(right):
                 continue
-            links = rows[left] @ rows[right].T >= least
+            links = np.empty((len(left), len(right)), bool)
+            for at in range(0, len(left), TILE):
+                links[at : at + TILE] = rows[left[at : at + TILE]] @ rows[right].T >= least
             if same:
                 np.fill_diagonal(links, False)
-            if not links.any():
+            some, others = links.any(axis=1), links.any(axis=0)
+            if not some.any():
                 continue
+            left, right, links = left[some], right[others], links[np.ix_(some, others)]
             counts = np.zeros(len(ids), np.int64)
-            counts[left] += links @ weights[right]
-            if not same:
-                counts[right] += links.T @ weights[left]
+            tiles = [slice(at, at + TILE) for at in range(0, len(left), TILE)]
+            for t in tiles:
+                counts[left[t]] += links[t] @ weights[right]
+                if not same:
+                    counts[right] += weights[left[t]] @ links[t]
             roots = ids.copy()
             most = np.iinfo(np.int64).max
             while True:
-                low = np.where(links, roots[right][None, :], most).min(axis=1)
                 now = roots.copy()
-                now[left] = np.minimum(now[left], low)
-                low = np.where(links, now[left][:, None], most).min(axis=0)
-                now[right] = np.minimum(now[right], low)
+                for t in tiles:
+                    low = np.where(links[t], now[right][None, :], most).min(axis=1)
+                    now[left[t]] = np.minimum(now[left[t]], low)
+                    low = np.where(links[t], now[left[t]][:, None], most).min(axis=0)
+                    now[right] = np.minimum(now[right], low)
                 if (now == roots).all():
                     break
                 roots = now
@@ -154,12 +171,14 @@ def _linked(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 def _links(vectors: DataFrame, least: float) -> DataFrame:
     """(id, links, root) of the linked vectors of one length, several rows for an id."""
-    count = vectors.count()
-    cells = max(1, min(CELLS, ceil(sqrt(count))))
-    centres = _fitted(vectors, count, cells) if cells > 1 else np.eye(1, vectors.first()["length"])
-    schema = "cell int, visiting int, id long, weight long, vector array<float>"
+    count, length = vectors.count(), vectors.first()["length"]
+    most = max(1, min(BLOCK, NUMBERS // length))
+    cells = min(CELLS, max(ceil(2 * count / most), FEWEST), ceil(sqrt(count)))
+    centres = _fitted(vectors, count, cells) if cells > 1 else np.eye(1, length)
+    schema = "home int, visits array<int>, id long, weight long, vector array<float>"
     celled = stored(vectors.select("id", "weight", "vector").mapInArrow(_celled(centres, least), schema), "cells")
-    dealt = _dealt(celled).repartition(*KEYS).sortWithinPartitions(*KEYS)
+    block = min(most, ceil(2 * count / cells))
+    dealt = _dealt(celled, block).repartition(*KEYS).sortWithinPartitions(*KEYS)
     return dealt.mapInArrow(_linked(least), "id long, links long, root long")
 
 
