@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textmill.llm import mixing, packing, sharding, topk
+from textmill.llm import mixing, packing, queries, sharding, topk
 
 SCHEMA = "doc_id long, text string, source string, place string, size string, shard string"
 
@@ -147,6 +147,21 @@ def test_bins_hold_whole_documents_without_conflicts(spark):
     assert packing.packed(docs.limit(0)).count() == 0
 
 
+def test_near_copies_from_different_sources_never_share_a_bin(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(60))
+    copies = [text, text.replace("w30 ", "other "), text.replace(" ", "  ", 1), text + ".", text.upper(), text + " more"]
+    rows = [(None if i == 2 else i, t, None if i % 2 else f"s{i}", "en", 9) for i, t in enumerate(copies)]
+    rows += [(7, "É une deux", "a", "fr", 9), (7, "é UNE deux", "b", "fr", 9), (8, "  ", "c", "fr", 9), (9, None, "d", "fr", 9)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_packing(spark, str(tmp_path)).collect()
+    long = [r for r in got if r["size"] >= 60]
+    assert len(got) == len(rows) and len(long) == len(copies)
+    assert len({r.bin for r in long}) == len(long) and len({r.cluster for r in long}) == 1
+    short = [r for r in got if r["size"] == 3]
+    assert len({r.bin for r in short}) == 2 and len({r.cluster for r in short}) == 1
+    assert [r.cluster for r in got if r.doc_id == 9] == [None]
+
+
 def test_top_scores_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 64)
     monkeypatch.setattr(topk, "QUERIES", 8)

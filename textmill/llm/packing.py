@@ -8,6 +8,8 @@ of its duplicate clusters; it takes no second piece of a source and none of a cl
 Shards are dealt by a hash of row positions and have `shard_rows` pieces on average, whatever the sources and clusters are, so a hot
 source or cluster never meets in one task. No bin spans shards.
 
+Without a column of clusters, equal texts are one; with the table of `near_copies`, near copies too.
+
 Cases: a null source or cluster conflicts with nothing; texts without words are pieces of size 0; repeated rows are packed
 like others and, having one cluster, never share a bin; an empty table gives an empty result; other columns are ignored.
 """
@@ -22,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.llm import minhash
 from textmill.llm.common import stored, word_count
 
 CAPACITY = 2048
@@ -64,13 +67,27 @@ def _packer(capacity: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return run
 
 
+def near_copies(docs: DataFrame, size: int = 5, parts: int = 80, whole: int = 100) -> DataFrame:
+    """(cluster, component) of the lower-cased texts that are near copies of another: shingles of `size` words, similarity of parts / whole.
+
+    Digests stand for ids, so that rows without an id and texts that share one are compared too.
+    """
+    texts = docs.select(F.lower("text").alias("text")).filter("text != ''").select(F.xxhash64("text").alias("doc_id"), "text")
+    groups = minhash.duplicate_groups(texts, size, parts, whole).filter(F.col("doc_id") != F.col("component_id"))
+    return stored(groups.groupBy(F.col("doc_id").alias("cluster")).agg(F.min("component_id").alias("component")), "near_copies")
+
+
 def packed(
-    docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None, shard_rows: int = SHARD_ROWS
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    cluster: str | None = None,
+    shard_rows: int = SHARD_ROWS,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """doc_id, part, size, source, cluster and bin of every piece; part p of a document starts at word p * capacity.
 
-    The cluster is the given column or, without one, the lower-cased text: equal texts conflict. Texts are read once for their sizes and digests;
-    only slim rows are shuffled.
+    The cluster is the given column or, without one, the lower-cased text: equal texts conflict, and with the table `near` (see `near_copies`)
+    near copies do. Texts are read once for their sizes and digests; only slim rows are shuffled.
     """
     label = F.col(f"`{cluster}`").cast("string") if cluster else F.lower("text")
     sized = docs.select(
@@ -79,6 +96,8 @@ def packed(
         F.when(label != "", F.xxhash64(label)).alias("cluster"),
         word_count(F.col("text")).alias("words"),
     )
+    if near is not None:
+        sized = sized.join(near, "cluster", "left").withColumn("cluster", F.coalesce("component", "cluster"))
     last = F.greatest(F.ceil(F.col("words") / capacity).cast("int") - 1, F.lit(0))
     parts = sized.select("*", F.explode(F.sequence(F.lit(0), last)).alias("part")).select(
         "doc_id", "source", "cluster", "part", F.least(F.lit(capacity), F.col("words") - F.col("part") * capacity).alias("size")

@@ -51,7 +51,8 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Bins of 2048 words without two pieces of a source or of a duplicate cluster."""
-    return packing.packed(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    return packing.packed(docs, near=packing.near_copies(docs))
 
 
 def op7_linededup(spark: SparkSession, folder: str) -> DataFrame:
