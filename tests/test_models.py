@@ -210,3 +210,18 @@ def test_new_files_are_processed_once(spark, tmp_path):
     df.withColumn("id", F.lit(2).cast("long")).write.mode("append").parquet(source)
     assert process_new_files(spark, source, target, progress, df.schema, clean) == 1
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2]
+
+
+def test_rows_of_more_batches_than_are_kept_are_counted(spark, tmp_path):
+    source, target, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    df = spark.range(80)
+    df.repartition(8).write.parquet(source)
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        assert process_new_files(spark, source, target, progress, df.schema, lambda d: d, files_per_batch=1) == 80
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.set(name, before)
+    assert spark.read.parquet(target).count() == 80

@@ -27,17 +27,19 @@ def process_new_files(
     arriving = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
-    # the query keeps its latest progress records only; all of them are summed here
+    # the query keeps its latest progress records only, as many as the setting says at each batch; all of them are summed here
     kept = spark.conf.get(RECENT)
     spark.conf.set(RECENT, str(2**31 - 1))
-    running = (
-        transform(arriving)
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", progress)
-        .trigger(availableNow=True)
-        .start()
-    )
-    spark.conf.set(RECENT, kept)
-    running.awaitTermination()
-    return sum(p["numInputRows"] for p in running.recentProgress)
+    try:
+        running = (
+            transform(arriving)
+            .writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", progress)
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
+        return sum(p["numInputRows"] for p in running.recentProgress)
+    finally:
+        spark.conf.set(RECENT, kept)
