@@ -204,6 +204,21 @@ def test_licences_by_canonical_digests(spark):
     assert licences.scanned(docs.limit(0)).count() == 0
 
 
+def test_titles_list_marks_and_given_licences_are_found(spark):
+    body = next(t for n, t in licences.KNOWN if n == "BSD-3-Clause" and t.startswith("Redistribution"))
+    marked = re.sub(r"[123]\. ", "\n* ", body)
+    rows = [
+        (1, "BSD 3-Clause License\n\nCopyright (c) 2020, A. Person\nAll rights reserved.\n\n" + body, "BSD-3-Clause"),
+        (2, marked, "BSD-3-Clause"),
+        (3, "Released under the Apache License 2.0.", "Apache-2.0"),
+        (4, "Own terms:\nuse it well", "Own"),
+    ]
+    more = spark.createDataFrame([("Own", "own terms use it WELL")], "license string, text string")
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert {r.doc_id: r.whole for r in licences.scanned(docs, more).collect()} == {r[0]: r[2] for r in rows}
+    assert {r.doc_id: r.whole for r in licences.scanned(docs).collect()} == {1: "BSD-3-Clause", 2: "BSD-3-Clause", 3: "Apache-2.0", 4: None}
+
+
 def test_every_known_licence_has_the_anchor_and_its_own_digest(spark):
     assert all(re.search(licences.ANCHOR.removeprefix("(?i)"), t, re.IGNORECASE) for _, t in licences.KNOWN)
     digests = licences.known_digests(spark).collect()

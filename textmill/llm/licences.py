@@ -12,6 +12,8 @@ table gives an empty result; other columns are ignored. The table of known diges
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +57,54 @@ under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR COND
 specific language governing permissions and limitations under the License."""
 _GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
 Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
-KNOWN = (
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In
+jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public
+domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an
+overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS",
+WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to"""
+#: titles above a text; a text may stand without one
+_TITLES = {
+    "BSD-2-Clause": ("", "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("", "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "ISC": ("The ISC License",),
+}
+_BODIES = {
+    "BSD-2-Clause": f"{_BSD_HEAD} {_BSD_TAIL}",
+    "BSD-3-Clause": f"{_BSD_HEAD} {_BSD_THIRD} {_BSD_TAIL}",
+    "Zlib": _ZLIB,
+    "0BSD": f"{_ZERO} {_AS_IS}",
+    "ISC": f"{_ISC} {_AS_IS}",
+}
+#: names in notices
+_NAMES = (
+    ("MIT", "the MIT License"),
+    ("ISC", "the ISC License"),
+    ("0BSD", "the BSD Zero Clause License"),
+    ("BSD-2-Clause", "the BSD 2-Clause License"),
+    ("BSD-3-Clause", "the BSD 3-Clause License"),
+    ("Zlib", "the zlib License"),
+    ("Unlicense", "the Unlicense"),
+    ("BSL-1.0", "the Boost Software License, Version 1.0"),
+    ("MPL-2.0", "the Mozilla Public License, version 2.0"),
+    ("EPL-2.0", "the Eclipse Public License, version 2.0"),
+    ("Apache-2.0", "the Apache License, Version 2.0"),
+    ("Apache-2.0", "the Apache License 2.0"),
+    ("GPL-2.0", "the GNU General Public License, version 2"),
+    ("GPL-3.0", "the GNU General Public License, version 3"),
+    ("LGPL-2.1", "the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "the GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "the GNU Affero General Public License, version 3"),
+    ("CC-BY-4.0", "CC BY 4.0"),
+    ("CC-BY-SA-4.0", "CC BY-SA 4.0"),
+    ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+)
+_NOTICES = ("Released under {}.", "Licensed under {}.", "This work is licensed under {}.", "This project is licensed under {}.")
+_BASE = (
     ("MIT", _MIT),
     ("MIT", "MIT License " + _MIT),
     ("MIT", "The MIT License (MIT) " + _MIT),
@@ -85,6 +134,24 @@ KNOWN = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 license."),
 )
+_MORE = (
+    *((n, f"{title} {body}".strip()) for n, titles in _TITLES.items() for title in titles for body in (_BODIES[n], re.sub(r"\b[123]\. ", "", _BODIES[n]))),
+    ("Unlicense", f"{_UNLICENSE} <http://unlicense.org/>"),
+    ("Unlicense", f"{_UNLICENSE} <http://unlicense.org>"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    *((n, notice.format(name)) for n, name in _NAMES for notice in _NOTICES),
+)
+
+
+def _distinct(rows: tuple[tuple[str, str], ...]) -> tuple[tuple[str, str], ...]:
+    """One row of those that are the same but for case, blanks and punctuation."""
+    first: dict[str, tuple[str, str]] = {}
+    for name, text in rows:
+        first.setdefault(re.sub(r"\W+", " ", text.lower()).strip(), (name, text))
+    return tuple(first.values())
+
+
+KNOWN = _distinct(_BASE + _MORE)
 # Spellings that count as one, applied in order to lower-case text.
 SPELLINGS = (
     (r"licence", "license"),
@@ -99,7 +166,7 @@ SPELLINGS = (
     (r"&", " and "),
 )
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}(©\n]*(?:copyright\b(?!\s+(?:holder|notice))|\(c\)|©)[^\n]*$|(?m)^\W*all rights reserved\W*$"
-ANCHOR = r"(?i)licen[cs]|permi|redistribut"
+ANCHOR = r"(?i)licen[cs]|permi|redistribut|released"
 
 
 def canonical(text: Column) -> Column:
@@ -110,28 +177,32 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, license) of the known texts."""
+def known_digests(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """(digest, license) of the known texts and of a table `more` (license, text)."""
     rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in KNOWN])
     known = spark.range(1).select(F.explode(rows).alias("row")).select("row.*")
+    if more is not None:
+        known = known.unionByName(more.select("license", "text")).filter(canonical(F.col("text")) != "")
     return known.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").distinct()
 
 
-def scanned(docs: DataFrame) -> DataFrame:
+def scanned(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """doc_id, whole (the licence that the entire text is, or null) and licenses (those of any unit, sorted) of every row.
 
+    Texts of a table `more` (license, text) are known too; as they need not have the anchor, units are then built in all texts.
     Only documents with a match are shuffled, as slim rows.
     """
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike(ANCHOR))
+    anchored = (lambda c: c.isNotNull()) if more is not None else (lambda c: c.rlike(ANCHOR))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(anchored(F.col("text")))
     breaks = F.regexp_replace("text", r"\r\n?", "\n")
     parts = F.array_union(F.split(breaks, r"\n[ \t]*\n\s*", -1), F.split(breaks, "\n", -1))
-    parts = F.filter(parts, lambda p: p.rlike(ANCHOR) & (p != F.col("text")))
+    parts = F.filter(parts, lambda p: anchored(p) & (p != F.col("text")))
     unit = lambda text, whole: F.struct(text.alias("unit"), F.lit(whole).alias("whole"))
     units = F.concat(F.array(unit(F.col("text"), True)), F.transform(parts, lambda p: unit(p, False)))
     rows = texts.select("doc_id", F.explode_outer(units).alias("row")).select("doc_id", "row.*").filter(F.col("unit").isNotNull())
     form = canonical(F.col("unit"))
     digests = rows.select("doc_id", "whole", F.when(form != "", F.sha2(form, 256)).alias("digest"))
-    hits = digests.join(F.broadcast(known_digests(docs.sparkSession)), "digest")
+    hits = digests.join(F.broadcast(known_digests(docs.sparkSession, more)), "digest")
     found = hits.groupBy(F.col("doc_id").alias("owner")).agg(
         F.max(F.when(F.col("whole"), F.col("license"))).alias("whole"), F.sort_array(F.collect_set("license")).alias("licenses")
     )
