@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import licences, linededup, minhash, mixing, packing, pii, sharding, topk, toxicity, vectors
+from textmill.llm import licences, linededup, minhash, mixing, packing, pii, sharding, tokencounts, topk, toxicity, vectors
 from textmill.llm.common import table
 from textmill.llm.sql import OP1_SQL, OP4_SQL, OP8_SQL, OP9_SQL, OP10_SQL
 
@@ -77,6 +77,18 @@ def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.duplicate_groups(table(spark, folder, "embeddings"), least=0.9)
 
 
+#: the tokenizer file of op12, a parameter: its place comes from the package of public tokenizers
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op12_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every whole text, and whether they pass 1024."""
+    import public_tokenizers
+
+    counted = tokencounts.token_prefixes(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (~tokencounts.fits(F.col("n_tokens"), 1024)).alias("over_limit"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_vectors": op10_vectors,
+    "op12_tokens": op12_tokens,
 }
 ORACLES: dict[str, str] = {
     "op1_minhash": OP1_SQL,
