@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import licences, linededup, minhash, mixing, packing, pii, sharding, tokencounts, topk, toxicity, vectors
+from textmill.llm import licences, linededup, minhash, mixing, packing, pii, repair, sharding, tokencounts, topk, toxicity, vectors
 from textmill.llm.common import table
 from textmill.llm.sql import OP1_SQL, OP4_SQL, OP8_SQL, OP9_SQL, OP10_SQL
 
@@ -77,6 +77,11 @@ def op10_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.duplicate_groups(table(spark, folder, "embeddings"), least=0.9)
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation after its damage."""
+    return repair.repaired(table(spark, folder, "conversations"))
+
+
 #: the tokenizer file of op12, a parameter: its place comes from the package of public tokenizers
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_vectors": op10_vectors,
+    "op11_repair": op11_repair,
     "op12_tokens": op12_tokens,
 }
 ORACLES: dict[str, str] = {
