@@ -37,9 +37,9 @@ def _encoder(path: str):
 
             def ends(texts: list[str]) -> list[list[int]]:
                 out = []
-                for text, proto in zip(texts, model.encode(texts, return_type="proto")):
+                for text in texts:
                     # a piece ends where its surface ends, in bytes of the text
-                    out.append(np.array([p.end for p in proto.pieces], dtype=np.int32))
+                    out.append(np.array([p.end for p in model.encode(text, return_type="proto").pieces], dtype=np.int32))
                 return out
 
         else:
@@ -51,9 +51,11 @@ def _encoder(path: str):
 
             def ends(texts: list[str]) -> list[list[int]]:
                 out = []
-                for text, encoding in zip(texts, model.encode_batch(texts, add_special_tokens=False)):
+                for text in texts:
+                    # one text at a time: only its offsets outlive the encoding, 4 bytes a token
+                    offsets = model.encode(text, add_special_tokens=False).offsets
                     # offsets are in characters; a character's byte offset is a running sum of UTF-8 lengths
-                    stops = np.fromiter((end for _, end in encoding.offsets), dtype=np.int64, count=len(encoding.offsets))
+                    stops = np.fromiter((end for _, end in offsets), dtype=np.int64, count=len(offsets))
                     if not text.isascii():
                         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
                         widths = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
