@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import licences, linededup, minhash, mixing, packing, pii, repair, sharding, tokencounts, topk, toxicity, vectors
+from textmill.llm import licences, linededup, minhash, mixing, negatives, packing, pii, repair, sharding, tokencounts, topk, toxicity, vectors
 from textmill.llm.common import table
-from textmill.llm.sql import OP1_SQL, OP4_SQL, OP8_SQL, OP9_SQL, OP10_SQL
+from textmill.llm.sql import OP1_SQL, OP4_SQL, OP8_SQL, OP9_SQL, OP10_SQL, OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +94,11 @@ def op12_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (~tokencounts.fits(F.col("n_tokens"), 1024)).alias("over_limit"))
 
 
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every anchor (vec_id divisible by 100) and each of its 5 positives."""
+    return negatives.mined(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op10_vectors": op10_vectors,
     "op11_repair": op11_repair,
     "op12_tokens": op12_tokens,
+    "op13_negatives": op13_negatives,
 }
 ORACLES: dict[str, str] = {
     "op1_minhash": OP1_SQL,
@@ -114,4 +120,5 @@ ORACLES: dict[str, str] = {
     "op8_topk": OP8_SQL,
     "op9_mixing": OP9_SQL,
     "op10_vectors": OP10_SQL,
+    "op13_negatives": OP13_SQL,
 }

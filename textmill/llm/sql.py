@@ -129,3 +129,34 @@ WITH known AS (
 )
 SELECT d.doc_id, f.whole, coalesce(array_to_string(f.licenses, ','), '') AS licenses FROM documents d LEFT JOIN found f USING (doc_id)
 """
+
+OP13_SQL = """
+WITH e AS (
+    SELECT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+a AS (SELECT * FROM e WHERE vec_id % 100 = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, a.lab AS alab, e.vec_id, e.lab,
+           CAST(list_dot_product(CAST(a.q AS DOUBLE[]), CAST(e.q AS DOUBLE[])) AS BIGINT) AS score
+    FROM a JOIN e ON len(a.q) = len(e.q)
+),
+pos AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+        FROM s WHERE lab = alab AND vec_id <> anchor_id
+    ) WHERE r <= 5
+),
+neg AS (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND s.lab <> s.alab
+     AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 10
+"""
