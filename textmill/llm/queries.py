@@ -90,7 +90,8 @@ def op12_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every whole text, and whether they pass 1024."""
     import public_tokenizers
 
-    counted = tokencounts.token_prefixes(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    docs = table(spark, folder, "documents")
+    counted = tokencounts.token_prefixes(docs, public_tokenizers.path(TOKENIZER), columns=["doc_id"])
     return counted.select("doc_id", "n_bytes", "n_tokens", (~tokencounts.fits(F.col("n_tokens"), 1024)).alias("over_limit"))
 
 

@@ -14,33 +14,58 @@ output (`n_bytes`, `n_tokens`, `ends`) are replaced; an empty table gives an emp
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OUTPUT = ["n_bytes", "n_tokens", "ends"]
+SLICE = 256  # rows encoded and sent back together, so that one Arrow batch of long texts stays small
 _LOADED: dict[str, object] = {}
 
 
+def _byte_lengths(model) -> np.ndarray | None:
+    """UTF-8 bytes of every token id, where a token always covers the same bytes: byte-level BPE without a normaliser,
+    whose vocabulary has one character for each byte (added tokens stand as they are written). None for other tokenizers."""
+    config = json.loads(model.to_str())
+    if config.get("normalizer") is not None or (config.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+        return None
+    vocab = model.get_vocab(with_added_tokens=True)
+    added = {t["content"] for t in config.get("added_tokens", [])}
+    lengths = np.zeros(max(vocab.values(), default=-1) + 1, dtype=np.int64)
+    for token, i in vocab.items():
+        lengths[i] = len(token.encode("utf-8")) if token in added else len(token)
+    return lengths
+
+
+def _char_to_byte(text: str, stops: np.ndarray) -> np.ndarray:
+    """Byte offsets of character offsets: a running sum of UTF-8 lengths."""
+    if text.isascii():
+        return stops
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    widths = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+    return np.concatenate([[0], np.cumsum(widths)])[stops]
+
+
 def _encoder(path: str):
-    """One tokenizer per Python worker and file: a callable from a text to the byte offsets where its tokens end."""
+    """One tokenizer per Python worker and file: a callable from texts to the byte offsets where their tokens end."""
     if path not in _LOADED:
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
 
-            def ends(texts: list[str]) -> list[list[int]]:
-                out = []
-                for text in texts:
-                    # a piece ends where its surface ends, in bytes of the text
-                    out.append(np.array([p.end for p in model.encode(text, return_type="proto").pieces], dtype=np.int32))
-                return out
+            def ends(texts: list[str]) -> list[np.ndarray]:
+                # a piece ends where its surface ends, in bytes of the text
+                return [
+                    np.array([p.end for p in model.encode(text, return_type="proto").pieces], dtype=np.int64)
+                    for text in texts
+                ]
 
         else:
             from tokenizers import Tokenizer
@@ -48,48 +73,58 @@ def _encoder(path: str):
             model = Tokenizer.from_file(path)
             model.no_truncation()
             model.no_padding()
+            lengths = _byte_lengths(model)
 
-            def ends(texts: list[str]) -> list[list[int]]:
+            def ends(texts: list[str]) -> list[np.ndarray]:
                 out = []
                 for text in texts:
-                    # one text at a time: only its offsets outlive the encoding, 4 bytes a token
-                    offsets = model.encode(text, add_special_tokens=False).offsets
-                    # offsets are in characters; a character's byte offset is a running sum of UTF-8 lengths
-                    stops = np.fromiter((end for _, end in offsets), dtype=np.int64, count=len(offsets))
-                    if not text.isascii():
-                        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-                        widths = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-                        stops = np.concatenate([[0], np.cumsum(widths)])[stops]
-                    out.append(stops.astype(np.int32))
+                    # one text at a time: only its ids or offsets outlive the encoding
+                    encoding = model.encode(text, add_special_tokens=False)
+                    if lengths is not None:
+                        out.append(np.cumsum(lengths[np.asarray(encoding.ids, dtype=np.int64)]))
+                    else:
+                        offsets = encoding.offsets
+                        stops = np.fromiter((end for _, end in offsets), dtype=np.int64, count=len(offsets))
+                        out.append(_char_to_byte(text, stops))
                 return out
 
         _LOADED[path] = ends
     return _LOADED[path]
 
 
-def token_prefixes(docs: DataFrame, tokenizer_path: str, text: str = "text") -> DataFrame:
-    """Every row of `docs` with n_bytes, n_tokens and the prefix table `ends` of its text (see the module)."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    keep = [c for c in docs.columns if c not in OUTPUT]
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+def token_prefixes(
+    docs: DataFrame, tokenizer_path: str, text: str = "text", columns: list[str] | None = None
+) -> DataFrame:
+    """The rows of `docs` with n_bytes, n_tokens and the prefix table `ends` of their text (see the module).
+
+    `columns` names the columns carried along (all by default); naming fewer spares sending them through Python.
+    """
+    keep = [c for c in (docs.columns if columns is None else columns) if c not in OUTPUT]
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(*keep, F.octet_length(whole).cast("long").alias("n_bytes"), whole.alias("_text"))
+    fields = [f for f in rows.schema.fields if f.name != "_text"]
     schema = T.StructType(
-        [f for f in rows.schema.fields]
-        + [T.StructField("n_tokens", T.LongType()), T.StructField("ends", T.ArrayType(T.IntegerType()))]
+        fields + [T.StructField("n_tokens", T.LongType()), T.StructField("ends", T.ArrayType(T.IntegerType()))]
     )
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task: Spark runs the tasks side by side
         ends_of = _encoder(tokenizer_path)
-        for batch in batches:
-            ends = ends_of(batch["_text"].tolist())
-            batch["n_tokens"] = [len(e) for e in ends]
-            batch["ends"] = ends
-            yield batch
-
-    encoded = rows.mapInPandas(encode, schema)
-    return encoded.select(
-        *keep, F.octet_length("_text").cast("long").alias("n_bytes"), "n_tokens", "ends"
-    )
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                ends = ends_of(batch.column("_text").to_pylist())
+                counts = np.array([len(e) for e in ends], dtype=np.int64)
+                offsets = np.zeros(len(ends) + 1, dtype=np.int32)
+                offsets[1:] = np.cumsum(counts)
+                flat = np.concatenate(ends).astype(np.int32) if ends else np.zeros(0, dtype=np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+                carried = [batch.column(f.name) for f in fields]
+                names = [f.name for f in fields] + ["n_tokens", "ends"]
+                yield pa.RecordBatch.from_arrays([*carried, pa.array(counts), listed], names=names)
+
+    encoded = rows.mapInArrow(encode, schema)
+    return encoded.select(*keep, "n_bytes", "n_tokens", "ends")
 
 
 def cut_bytes(ends: Column, budget: int | Column) -> Column:
