@@ -76,16 +76,16 @@ def _encoder(path: str):
             lengths = _byte_lengths(model)
 
             def ends(texts: list[str]) -> list[np.ndarray]:
+                if lengths is not None:
+                    # ids alone give the ends, so the encoder need not track offsets; a slice of texts at a time
+                    encoded = model.encode_batch_fast(texts, add_special_tokens=False)
+                    return [np.cumsum(lengths[np.asarray(e.ids, dtype=np.int64)]) for e in encoded]
                 out = []
                 for text in texts:
-                    # one text at a time: only its ids or offsets outlive the encoding
-                    encoding = model.encode(text, add_special_tokens=False)
-                    if lengths is not None:
-                        out.append(np.cumsum(lengths[np.asarray(encoding.ids, dtype=np.int64)]))
-                    else:
-                        offsets = encoding.offsets
-                        stops = np.fromiter((end for _, end in offsets), dtype=np.int64, count=len(offsets))
-                        out.append(_char_to_byte(text, stops))
+                    # one text at a time: only its offsets outlive the encoding
+                    offsets = model.encode(text, add_special_tokens=False).offsets
+                    stops = np.fromiter((end for _, end in offsets), dtype=np.int64, count=len(offsets))
+                    out.append(_char_to_byte(text, stops))
                 return out
 
         _LOADED[path] = ends
