@@ -19,12 +19,21 @@ STATISTICS = f"{ROWS}, s AS (SELECT token, count(DISTINCT doc_id) AS df, count(*
 DICTIONARY = f"""{STATISTICS}, k AS (SELECT * FROM s WHERE (df >= 5 AND df <= floor(0.5 * (SELECT count(*) FROM documents)))
     OR token = '?' ORDER BY df DESC, token LIMIT 2000),
     d AS (SELECT row_number() OVER (ORDER BY token) - 1 AS token_id, token, df, cf FROM k)"""
+#: the dictionary of the bags of words: the same filter, every word that passes it
+WHOLE = f"""{STATISTICS}, k AS (SELECT * FROM s WHERE (df >= 5 AND df <= floor(0.5 * (SELECT count(*) FROM documents)))
+    OR token = '?'),
+    d AS (SELECT row_number() OVER (ORDER BY token) - 1 AS token_id, token, df, cf FROM k)"""
 
 
 def dictionary(spark, sf):
     return vocabulary.build_dictionary(tokenized(spark, sf), "tokens", no_below=5, no_above=0.5, keep_n=2000)
 
 
+def whole_dictionary(spark, sf):
+    """Every word within the document frequencies, as the bags of words of the original preparation use it."""
+    return vocabulary.build_dictionary(tokenized(spark, sf), "tokens", no_below=5, no_above=0.5, keep_n=None)
+
+
 @query("doc_frequency", f"WITH {STATISTICS} SELECT token, df FROM s")
 def doc_frequency(spark, sf):
     return eda.document_frequency(tokenized(spark, sf), "tokens")
@@ -52,12 +61,12 @@ def dictionary_unbounded(spark, sf):
     return vocabulary.build_dictionary(tokenized(spark, sf), "tokens", no_below=2, keep_n=None)
 
 
-BOW = f"WITH {DICTIONARY} SELECT doc_id, token_id, count(*) AS cnt FROM t JOIN d USING (token) GROUP BY doc_id, token_id"
+BOW = f"WITH {WHOLE} SELECT doc_id, token_id, count(*) AS cnt FROM t JOIN d USING (token) GROUP BY doc_id, token_id"
 
 
 @query("doc2bow", BOW)
 def doc2bow(spark, sf):
-    return vocabulary.doc2bow(tokenized(spark, sf), "doc_id", "tokens", dictionary(spark, sf))
+    return vocabulary.doc2bow(tokenized(spark, sf), "doc_id", "tokens", whole_dictionary(spark, sf))
 
 
 @query(
@@ -66,7 +75,7 @@ def doc2bow(spark, sf):
     LEFT JOIN ({BOW}) b ON documents.doc_id = b.doc_id GROUP BY documents.doc_id""",
 )
 def bow_arrays(spark, sf):
-    made = vocabulary.with_bow(tokenized(spark, sf), "doc_id", "tokens", dictionary(spark, sf))
+    made = vocabulary.with_bow(tokenized(spark, sf), "doc_id", "tokens", whole_dictionary(spark, sf))
     shown = F.transform("bow", lambda x: F.concat(x["id"].cast("string"), F.lit(":"), x["cnt"].cast("string")))
     return made.select("doc_id", F.array_join(shown, " ").alias("bow"))
 
@@ -74,7 +83,7 @@ def bow_arrays(spark, sf):
 @query("vectorized_counts", BOW)
 def vectorized_counts(spark, sf):
     """The same counts from sparse vectors, as the models read them."""
-    vectors = vocabulary.with_vectors(tokenized(spark, sf), "tokens", dictionary(spark, sf))
+    vectors = vocabulary.with_vectors(tokenized(spark, sf), "tokens", whole_dictionary(spark, sf))
     parts = F.unwrap_udt("features")
     pairs = F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))
     return inline_rows(vectors, ["doc_id"], pairs).select(
