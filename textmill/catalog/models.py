@@ -12,7 +12,7 @@ from textmill.catalog.relational import documents
 from textmill.catalog.sql import in_list, tokens
 from textmill.catalog.text import simple_clean_sql, tokenized
 from textmill.functions import tokens as tok
-from textmill.operators import clusters, coherence, topics, vocabulary
+from textmill.operators import clusters, coherence, sparsekmeans, topics, vocabulary
 from textmill.plans import language, settings, training
 from textmill.sources import registry as model_registry
 from textmill.session import scratch_path
@@ -47,22 +47,40 @@ def _predict(corpus, model, **settings_):
     )
 
 
+#: the topic queries follow the original training run: the word prior is learned
+MODEL_AUTO = replace(MODEL, lda_eta="auto")
+
+
+def trained_tables(spark, sf, k=TOPICS):
+    corpus = training.build_corpus(prepared(spark, sf), "doc_id", "text", MODEL_AUTO)
+    model, bag = training.fit_tables(corpus, MODEL_AUTO, k, "doc_id")
+    return corpus, model, bag
+
+
 @query("lda_topics")
 def lda_topics(spark, sf):
-    corpus, model = trained(spark, sf)
-    return training.topic_table(corpus, model, TOPICS, 10)
+    """Topic words of online LDA whose parameters are tables, with a learned word prior."""
+    corpus, model, bag = trained_tables(spark, sf)
+    return training.tables_topic_table(model, bag, corpus.dictionary, 10)
 
 
 @query("lda_topics_wide")
 def lda_topics_wide(spark, sf):
-    corpus, model = trained(spark, sf)
-    return topics.topic_words_wide(training.topic_table(corpus, model, TOPICS, 10), TOPICS)
+    corpus, model, bag = trained_tables(spark, sf)
+    return topics.topic_words_wide(training.tables_topic_table(model, bag, corpus.dictionary, 10), TOPICS)
 
 
 @query("lda_one_topic")
 def lda_one_topic(spark, sf):
-    corpus, model = trained(spark, sf)
-    return topics.one_topic(training.topic_table(corpus, model, TOPICS, 10), 0, 7)
+    corpus, model, bag = trained_tables(spark, sf)
+    return topics.one_topic(training.tables_topic_table(model, bag, corpus.dictionary, 10), 0, 7)
+
+
+@query("lda_eta")
+def lda_eta(spark, sf):
+    """The learned word prior: (token_id, Word, eta), one row per word of the dictionary."""
+    corpus, model, _ = trained_tables(spark, sf)
+    return model.eta.join(corpus.dictionary.select("token_id", F.col("token").alias("Word")), "token_id")
 
 
 @query("lda_features", "SELECT doc_id, true AS sums_to_one FROM documents")
@@ -221,7 +239,15 @@ ELBOW = (1, 2, 4, 8)
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    return clusters.elbow(vectors(spark, sf), ELBOW)
+    """Mean distance to the nearest centre for every k, by k-means whose centres are tables (seeds by hash)."""
+    made = vectors(spark, sf).select("doc_id", "features")
+    entries = sparsekmeans.entries_of(made, "doc_id")
+    keys = made.select(F.col("doc_id").alias("doc"))
+    rows = []
+    for k in ELBOW:
+        model = sparsekmeans.train(entries, k, keys=keys)
+        rows.append((k, model.labels.agg(F.avg("distance")).first()[0]))
+    return spark.createDataFrame(rows, "k int, distortion double")
 
 
 @query(
@@ -244,9 +270,12 @@ def kmeans_one_centre(spark, sf):
 
 @query("kmeans_labels")
 def kmeans_labels(spark, sf):
-    made = vectors(spark, sf).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    model = clusters.fit_kmeans(made, 4)
-    return model.transform(made).select("doc_id", "cluster")
+    """Four clusters by k-means whose centres are tables; every document gets one."""
+    made = vectors(spark, sf).select("doc_id", "features")
+    model = sparsekmeans.train(
+        sparsekmeans.entries_of(made, "doc_id"), 4, keys=made.select(F.col("doc_id").alias("doc"))
+    )
+    return model.labels.select(F.col("doc").alias("doc_id"), F.col("centre").cast("int").alias("cluster"))
 
 
 @query("pca_2d")

@@ -14,7 +14,7 @@ from pyspark.ml.clustering import LDAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.operators import shape, topics, vocabulary
+from textmill.operators import onlinelda, shape, topics, vocabulary
 from textmill.plans.preparation import tokenized, with_ngrams, without_stopwords
 from textmill.plans.settings import ModelSettings, SourceSettings
 from textmill.session import materialise, scratch_path
@@ -72,6 +72,39 @@ def fit(corpus: Corpus, settings: ModelSettings, k: int) -> LDAModel:
     )
 
 
+def training_bag(corpus: Corpus, key: str, tokens: str) -> DataFrame:
+    """(doc, token_id, cnt) of the training rows."""
+    rows = corpus.scope.join(corpus.train.select(key), key, "left_semi")
+    return vocabulary.doc2bow(rows, key, tokens, corpus.dictionary).withColumnRenamed(key, "doc")
+
+
+def fit_tables(corpus: Corpus, settings: ModelSettings, k: int, key: str) -> tuple[onlinelda.OnlineLDA, DataFrame]:
+    """Online LDA whose parameters are tables (see operators/onlinelda.py); eta "auto" is learned, None is 1 / k."""
+    bag = materialise(training_bag(corpus, key, settings.predict_by_column))
+    eta = 1.0 / k if settings.lda_eta is None else settings.lda_eta
+    model = onlinelda.train(
+        bag,
+        k,
+        passes=settings.lda_passes,
+        updates_per_pass=settings.lda_updates_per_pass,
+        alpha=settings.lda_alpha,
+        eta=eta,
+        seed=settings.random_state,
+    )
+    return model, bag
+
+
+def tables_topic_table(model: onlinelda.OnlineLDA, bag: DataFrame, dictionary: DataFrame, n_words: int) -> DataFrame:
+    """Topic words of a table model with the mean share of each topic over the training rows; the same columns as
+    topic_table."""
+    shares = model.transform(bag).select(F.posexplode("topics").alias("topic", "share"))
+    means = shares.groupBy("topic").agg(F.avg("share").alias("Topic_Distribution"))
+    words = model.topic_words(dictionary, n_words)
+    return words.join(means, "topic").select(
+        F.col("topic").alias("Topic"), "Topic_Distribution", "Probability_Word", "Word", "Word_Rank"
+    )
+
+
 def topic_table(corpus: Corpus, model: LDAModel, k: int, n_words: int) -> DataFrame:
     """Topic words with the mean share of each topic over the training rows."""
     means = topics.mean_topic_vector(topics.with_topic_vector(corpus.train, model), "lda_features")
