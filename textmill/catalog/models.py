@@ -12,10 +12,10 @@ from textmill.catalog.relational import documents
 from textmill.catalog.sql import in_list, tokens
 from textmill.catalog.text import simple_clean_sql, tokenized
 from textmill.functions import tokens as tok
-from textmill.operators import clusters, coherence, sparsekmeans, topics, vocabulary
+from textmill.operators import clusters, coherence, pca, sparsekmeans, topics, vocabulary
 from textmill.plans import language, settings, training
 from textmill.sources import registry as model_registry
-from textmill.session import scratch_path
+from textmill.session import materialise, scratch_path
 
 TOPICS = 3
 MODEL = settings.ModelSettings(
@@ -280,8 +280,13 @@ def kmeans_labels(spark, sf):
 
 @query("pca_2d")
 def pca_2d(spark, sf):
-    made = vectors(spark, sf).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    return clusters.two_components(made).select("doc_id", "x", "y")
+    """The first two principal components of every document's tf-idf vector; the basis is a table (operators/pca.py)."""
+    made = vectors(spark, sf).select("doc_id", "features")
+    entries = sparsekmeans.entries_of(made, "doc_id")
+    keys = materialise(made.select(F.col("doc_id").alias("doc")))
+    axes, mean, _ = pca.principal_axes(entries, keys.count())
+    xy = pca.projected(entries, keys, axes, mean)
+    return xy.select(F.col("doc").alias("doc_id"), F.col("p0").alias("x"), F.col("p1").alias("y"))
 
 
 @query(
