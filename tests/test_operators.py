@@ -184,8 +184,9 @@ def test_tfidf_equals_the_formula(spark):
     assert found.keys() == plain.keys() and all(found[k] == pytest.approx(plain[k]) for k in plain)
 
 
+@pytest.mark.parametrize("block", [2048, 3])
 @pytest.mark.parametrize("threshold", [0.3, 0.6, 0.8, 0.95])
-def test_cosine_pairs_equal_brute_force(spark, threshold):
+def test_cosine_pairs_equal_brute_force(spark, threshold, block):
     rows = documents(8, n=60, words=LONG_WORDS, longest=9)
     plain = plain_tfidf(rows, 1, 1.0)
     by_doc = {}
@@ -197,7 +198,7 @@ def test_cosine_pairs_equal_brute_force(spark, threshold):
         if round(cosine, 6) >= threshold:
             expected[a, b] = round(cosine, 6)
     scores = tfidf.tfidf(frame(spark, rows), "id", "t", 1, 1.0)
-    found = {(r.left, r.right): r.cosine for r in tfidf.cosine_pairs(scores, "id", threshold).collect()}
+    found = {(r.left, r.right): r.cosine for r in tfidf.cosine_pairs(scores, "id", threshold, block).collect()}
     assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k], abs=2e-6) for k in found)
 
 
