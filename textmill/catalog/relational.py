@@ -315,6 +315,16 @@ def audit_unpivot(spark, sf):
     return audit.unpivot_audit(audit_rows(spark, sf), "o_orderkey", "mask", "data")
 
 
+@query(
+    "audit_unpivot_table", f"SELECT o_orderkey, p[1] AS attribute, p[2] AS value FROM {AUDIT_PAIRS_SQL}"
+)
+def audit_unpivot_table(spark, sf):
+    """The same unpivot as a lateral call of a table function from SQL."""
+    function = audit.register_audit_pairs(spark)
+    audit_rows(spark, sf).createOrReplaceTempView("audit_rows")
+    return spark.sql(f"SELECT r.o_orderkey, p.attribute, p.value FROM audit_rows r, LATERAL {function}(r.mask, r.data) p")
+
+
 @query(
     "audit_pairs",
     f"""SELECT o_orderkey, p[1] AS entry, string_split(p[2], ',')[1] AS value, string_split(p[2], ',')[2] AS identifier

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from textmill.functions.expressions import inline_rows, let
 
@@ -52,3 +53,20 @@ def with_changes(df: DataFrame, mask: str, data: str, name: str = "changes") ->
         name,
         F.transform(kept, lambda p: F.struct(p["attribute"].alias("attribute"), F.split(p["value"], ",").alias("parts"))),
     )
+
+
+@udtf(returnType="attribute: string, value: string", useArrow=True)
+class AuditPairs:
+    """Table function for SQL: the (attribute, value) pairs of a comma-separated mask and a `~`-separated data string, paired
+    by position, as long as the shorter list; a null mask or data gives no rows (as `paired` does)."""
+
+    def eval(self, mask: str | None, data: str | None):
+        if mask is None or data is None:
+            return
+        yield from zip(mask.split(","), data.split("~"))
+
+
+def register_audit_pairs(spark: SparkSession, name: str = "audit_pairs") -> str:
+    """Make the table function callable from SQL: SELECT ... FROM t, LATERAL audit_pairs(t.mask, t.data)."""
+    spark.udtf.register(name, AuditPairs)
+    return name
