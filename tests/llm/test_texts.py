@@ -196,6 +196,10 @@ def test_licences_by_canonical_digests(spark):
         (8, "Licensed under the Apache License,   version 2.0", "Apache-2.0", ["Apache-2.0"]),
         (None, "licensed under cc by-nc 4.0", "CC-BY-NC-4.0", ["CC-BY-NC-4.0"]),
         (2, "some text\nReleased under the MIT Licence\nmore", None, ["MIT"]),
+        # repeated and null ids with different texts: each row keeps the answer of its own text
+        (None, "Released under the MIT Licence", "MIT", ["MIT"]),
+        (None, "no licence here", None, []),
+        (8, "nothing to find", None, []),
     ]
     docs = spark.createDataFrame([(i, t, "x", "y") for i, t, _, _ in rows], "doc_id long, text string, license string, digest string")
     got = licences.scanned(docs).collect()

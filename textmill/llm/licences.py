@@ -190,21 +190,27 @@ def scanned(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """doc_id, whole (the licence that the entire text is, or null) and licenses (those of any unit, sorted) of every row.
 
     Texts of a table `more` (license, text) are known too; as they need not have the anchor, units are then built in all texts.
-    Only documents with a match are shuffled, as slim rows.
+    Only documents with a match are shuffled, as slim rows. Each row is judged by its own text: rows are told apart by
+    (doc_id, 64-bit hash and length of the text), so rows with a repeated or null id and different texts keep their own
+    answers, and equal rows get equal ones.
     """
     anchored = (lambda c: c.isNotNull()) if more is not None else (lambda c: c.rlike(ANCHOR))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(anchored(F.col("text")))
+    text = F.col("text").cast("string")
+    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_h"), F.length(text).alias("_n"))
+    texts = keyed.filter(anchored(F.col("text")))
     breaks = F.regexp_replace("text", r"\r\n?", "\n")
     parts = F.array_union(F.split(breaks, r"\n[ \t]*\n\s*", -1), F.split(breaks, "\n", -1))
     parts = F.filter(parts, lambda p: anchored(p) & (p != F.col("text")))
     unit = lambda text, whole: F.struct(text.alias("unit"), F.lit(whole).alias("whole"))
     units = F.concat(F.array(unit(F.col("text"), True)), F.transform(parts, lambda p: unit(p, False)))
-    rows = texts.select("doc_id", F.explode_outer(units).alias("row")).select("doc_id", "row.*").filter(F.col("unit").isNotNull())
+    rows = texts.select("doc_id", "_h", "_n", F.explode_outer(units).alias("row")).select("doc_id", "_h", "_n", "row.*")
+    rows = rows.filter(F.col("unit").isNotNull())
     form = canonical(F.col("unit"))
-    digests = rows.select("doc_id", "whole", F.when(form != "", F.sha2(form, 256)).alias("digest"))
+    digests = rows.select("doc_id", "_h", "_n", "whole", F.when(form != "", F.sha2(form, 256)).alias("digest"))
     hits = digests.join(F.broadcast(known_digests(docs.sparkSession, more)), "digest")
-    found = hits.groupBy(F.col("doc_id").alias("owner")).agg(
+    found = hits.groupBy(F.col("doc_id").alias("owner"), F.col("_h").alias("_oh"), F.col("_n").alias("_on")).agg(
         F.max(F.when(F.col("whole"), F.col("license"))).alias("whole"), F.sort_array(F.collect_set("license")).alias("licenses")
     )
-    every = docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("owner")), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("owner")) & (F.col("_h") == F.col("_oh")) & (F.col("_n") == F.col("_on"))
+    every = keyed.select("doc_id", "_h", "_n").join(found, same, "left")
     return every.select("doc_id", "whole", F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"))
