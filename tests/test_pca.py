@@ -44,3 +44,19 @@ def test_empty_raises(spark):
     entries = spark.createDataFrame([], "doc long, place long, value double")
     with pytest.raises(ValueError):
         pca.principal_axes(entries, 0)
+
+
+def test_rounds_do_not_shuffle_entries(spark):
+    rows = [(d, p, 1.0 + (d * 7 + p) % 5) for d in range(300) for p in range(12)]
+    x = np.zeros((300, 12))
+    for d, p, v in rows:
+        x[d, p] = v
+    basis = np.random.default_rng(2).normal(size=(12, 3))
+    held = pca.blocks.deal(spark.createDataFrame(rows, "doc long, place long, value double"))
+    table = spark.createDataFrame([(p, [float(b) for b in basis[p]]) for p in range(12)], "place long, w array<double>")
+    made = pca._multiplied(held, table, 3)
+    above = made._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+    assert "CoGroups" in above and "REPARTITION" not in above
+    got = {r.place: (r.r0, r.r1, r.r2) for r in made.collect()}
+    assert np.allclose([got[p] for p in range(12)], x.T @ (x @ basis))
+    held.release()

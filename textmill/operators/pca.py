@@ -2,9 +2,9 @@
 
 The basis is a table (place, b0 .. b{k-1}) of k = 8 columns: only k x k matrices reach the driver. One round:
 
-1. s = X B per row: the rows' entries join the basis on place and are summed per row (k columns).
-2. M = Xc^T Xc B = X^T s - n mu (mu^T B): the entries join s on the row and are summed per place; centring is the same
-   correction for every place, from the mean table and k sums.
+1. s = X B per row, X^T s per place: the rows lie in blocks (`operators/blocks.py`), gathered once; a block meets the basis once per
+   place of its own, and one pass gives its rows' s and its sum of x s per place, which are then summed over the blocks.
+2. M = Xc^T Xc B = X^T s - n mu (mu^T B): centring is the same correction for every place, from the mean table and k sums.
 3. G = B^T M and C = M^T M, both k x k, are aggregates. The Ritz values (eigenvalues of G) estimate the variances; M is
    orthonormalised by Cholesky-QR (B' = M L^-T with C = L L^T), a k x k product done in column expressions.
 4. Stop when the leading Ritz values change by less than `tolerance` (relative); raise after `max_rounds` rounds without that.
@@ -15,10 +15,15 @@ directions that vanish; fewer places than axes gives zero axes for the rest; an
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.operators import blocks
+from textmill.operators.blocks import Blocks, Chunk, Met
 from textmill.session import materialise
 
 
@@ -61,6 +66,23 @@ def _products(left: DataFrame, lp: list[str], right: DataFrame, rp: list[str]) -
     return np.array([0.0 if v is None else v for v in row], dtype=np.float64).reshape(len(lp), len(rp))
 
 
+def _multiplied(held: Blocks, basis: DataFrame, width: int) -> DataFrame:
+    """(place, r0 .. r{width-1}): X^T (X B) of the rows X and the basis (place, w array<double>)."""
+
+    def local(chunks: Iterator[Chunk], met: Met) -> pa.Table:
+        size = met.weights.shape[1]
+        out = np.zeros_like(met.weights)
+        for chunk in chunks:
+            row = chunk.rows()
+            for i in range(width):
+                scores = np.bincount(row, chunk.value * met.weights[i, chunk.at], len(chunk.sizes))
+                out[i] += np.bincount(chunk.at, chunk.value * scores[row], size)
+        return pa.table({"place": met.place} | {f"r{i}": out[i, met.at] for i in range(width)})
+
+    partial = held.each(basis, width, local, "place long, " + ", ".join(f"r{i} double" for i in range(width)))
+    return partial.groupBy("place").agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(width)])
+
+
 def principal_axes(
     entries: DataFrame,
     n_rows: int,
@@ -85,16 +107,12 @@ def principal_axes(
     turn = _orthonormal(_products(raw, basis_cols, raw, basis_cols))
     basis = materialise(_combined(raw, basis_cols, turn, "b"))
     before = None
+    held = blocks.deal(entries.where(F.col("doc").isNotNull()))
     for _ in range(max_rounds):
         width = len([c for c in basis.columns if c != "place"])
         basis_cols = [f"b{i}" for i in range(width)]
-        scores = entries.join(basis, "place").groupBy("doc").agg(
-            *[F.sum(F.col("value") * F.col(c)).alias(f"s{i}") for i, c in enumerate(basis_cols)]
-        )
         centre = mean.join(basis, "place").agg(*[F.sum(F.col("mean") * F.col(c)) for c in basis_cols]).first()
-        moved = entries.join(scores, "doc").groupBy("place").agg(
-            *[F.sum(F.col("value") * F.col(f"s{i}")).alias(f"r{i}") for i in range(width)]
-        )
+        moved = _multiplied(held, basis.select("place", F.array(*basis_cols).alias("w")), width)
         moved = materialise(
             mean.join(moved, "place", "left").select(
                 "place",
@@ -116,9 +134,11 @@ def principal_axes(
         ):
             axes = _combined(basis, basis_cols, rotation[:, : min(n_axes, width)], "a")
             missing = [F.lit(0.0).alias(f"a{j}") for j in range(min(n_axes, width), n_axes)]
+            held.release()
             return materialise(axes.select("*", *missing)), mean, np.concatenate([leading, np.zeros(n_axes - len(leading))]) / n_rows
         before = leading
         basis = materialise(_combined(moved, moved_cols, _orthonormal(_products(moved, moved_cols, moved, moved_cols)), "b"))
+    held.release()
     raise RuntimeError(f"principal axes did not converge in {max_rounds} rounds")
 
 
