@@ -154,3 +154,16 @@ def test_subject_concat_is_null_with_null_parts(spark):
     df = spark.createDataFrame([("a", "s", 1), ("a", None, 1), ("a", None, 0)], "t string, s string, f int").coalesce(1)
     joined = shape.subject_in_first_message(F.col("t"), F.col("s"), F.col("f") == 1)
     assert [r.x for r in df.select(joined.alias("x")).collect()] == ["a s", None, "a"]
+
+
+def test_stems_look_at_every_distinct_token_of_a_batch_once(spark):
+    seen = []
+
+    def numbered(token):
+        seen.append(token)
+        return f"{token}{len(seen)}"
+
+    rows = [(1, ["a", "b", "a"]), (2, None), (3, []), (4, ["b", "c", "a"])]
+    df = spark.createDataFrame(rows, "i int, t array<string>").coalesce(1)
+    got = {r.i: r.s for r in df.select("i", stem._stems(F.col("t"), numbered).alias("s")).collect()}
+    assert got == {1: ["a1", "b2", "a1"], 2: None, 3: [], 4: ["b2", "c3", "a1"]}
