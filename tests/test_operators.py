@@ -334,3 +334,17 @@ def test_jdbc_options():
         tables.jdbc_options("jdbc:x")
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:x", table_name="t", partition_column="id")
+
+
+def test_only_runs_that_can_be_ranked_leave_python(spark):
+    scores = np.array([5.0, 1.0, 3.0, 3.0000004, 0.5, 3.0 - 4e-7, 2.9])
+    assert list(np.flatnonzero(ngrams._highest(scores, 2))) == [0, 2, 3, 5]  # equal after rounding
+    assert scores[ngrams._highest(scores, 7)].size == 7
+    words = [f"w{i * i % 37}" for i in range(300)]
+    df = spark.createDataFrame([(1, words), (2, None), (3, ["a"])], "id int, t array<string>")
+    few = df.select("id", F.size(ngrams._scored(F.col("t"), 2, ngrams._pairs, 5)).alias("n")).where("id = 1").first().n
+    whole = df.select("id", F.size(ngrams._scored(F.col("t"), 2, ngrams._pairs, 10**6)).alias("n")).where("id = 1").first().n
+    assert 5 <= few < whole
+    for make in (ngrams.bigram_collocations, ngrams.trigram_collocations):
+        every = make(df, "id", "t", top=10**6).where("rank <= 5").collect()
+        assert sorted(map(tuple, make(df, "id", "t", top=5).collect())) == sorted(map(tuple, every))
