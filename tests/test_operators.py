@@ -4,9 +4,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.functions.expressions import item_counts
 from textmill.operators import audit, coherence, eda, ngrams, shape, tfidf, threads, topics, vocabulary
 from textmill.operators.ordering import global_running
 from textmill.plans import language
@@ -152,6 +154,47 @@ def test_bag_of_words_and_vectors(spark):
     assert sorted(str(r.features) for r in twice.collect()) == sorted(2 * [str(r.features) for r in made.collect()])
 
 
+def shown(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_item_counts(spark):
+    rows = [(1, ["b", "a", "b"]), (2, []), (3, None), (4, ["c"])]
+    df = spark.createDataFrame(rows, "id int, t array<string>")
+    found = {r.id: r.n for r in df.select("id", item_counts(F.col("t")).alias("n")).collect()}
+    assert found == {1: [("a", 1), ("b", 2)], 2: [], 3: None, 4: [("c", 1)]}
+
+
+def test_bags_and_vectors_list_no_entries_by_group(spark):
+    df = frame(spark, documents(5))
+    ids = vocabulary.build_dictionary(df, "t", no_below=2, no_above=0.9)
+    for made in (vocabulary.with_bow(df, "id", "t", ids), vocabulary.with_vectors(df, "t", ids)):
+        assert "collect_list" not in shown(made) and "MapInArrow" in shown(made)
+    assert vocabulary.with_vectors(df, "t", ids, keep=["id"]).columns == ["id", "features"]
+    assert vocabulary.with_vectors(df, "t", ids, keep=()).count() == df.count()
+
+
+def test_bags_of_repeated_and_null_keys(spark):
+    rows = [(1, ["a", "b"]), (1, ["b"]), (None, ["a"]), (None, ["a"]), (2, ["z"]), (3, [])]
+    df = spark.createDataFrame(rows * 3, "id int, t array<string>").repartition(3)
+    ids = spark.createDataFrame([(0, "a", 1, 1), (1, "b", 1, 1)], "token_id long, token string, df long, cf long")
+    found = Counter((r.id, tuple(map(tuple, r.bow))) for r in vocabulary.with_bow(df, "id", "t", ids).collect())
+    assert found == {(1, ((0, 3), (1, 6))): 6, (None, ()): 6, (2, ()): 3, (3, ()): 3}
+    counts = {(r.id, r.token_id): r.cnt for r in vocabulary.doc2bow(df, "id", "t", ids).collect()}
+    assert counts == {(1, 0): 3, (1, 1): 6, (None, 0): 6}
+
+
+def test_runs_of_keys_cross_batches():
+    rows = [(key, at) for key in range(40) for at in range(1 + key % 7 * 5)]
+    table = pa.table({"key": [k for k, _ in rows], "token_id": [at // 2 for _, at in rows], "cnt": [1] * len(rows)})
+    made = [pa.Table.from_batches([b]) for b in vocabulary._bows("key")(iter(table.to_batches(max_chunksize=3)))]
+    found = pa.concat_tables(made).to_pylist()
+    assert [r["key"] for r in found] == list(range(40))
+    for r in found:
+        expected = Counter(at // 2 for k, at in rows if k == r["key"])
+        assert [(x["id"], x["cnt"]) for x in r["bow"]] == sorted(expected.items())
+
+
 def test_top_words_keep_order_and_empty_rows(spark):
     df = frame(spark, [(1, ["b", "x", "a", "b"]), (2, ["x"]), (3, [])])
     listed = spark.createDataFrame([("a",), ("b",)], "token string")
