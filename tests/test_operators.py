@@ -195,6 +195,19 @@ def test_runs_of_keys_cross_batches():
         assert [(x["id"], x["cnt"]) for x in r["bow"]] == sorted(expected.items())
 
 
+def test_tfidf_shuffles_compact_rows_once(spark):
+    plan = shown(tfidf.tfidf(frame(spark, documents(6, words=LONG_WORDS)), "id", "t", 3, 0.8).select("id", "term", "score"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_tfidf_of_repeated_keys(spark):
+    rows = documents(6, words=LONG_WORDS)
+    split = [(i, part) for i, tokens in rows for part in (tokens[::2], tokens[1::2])]
+    found = {(r.id, r.term): r.score for r in tfidf.tfidf(frame(spark, split), "id", "t", 3, 0.8, len(rows)).collect()}
+    plain = plain_tfidf(rows, 3, 0.8)
+    assert found.keys() == plain.keys() and all(found[k] == pytest.approx(plain[k]) for k in plain)
+
+
 def test_top_words_keep_order_and_empty_rows(spark):
     df = frame(spark, [(1, ["b", "x", "a", "b"]), (2, ["x"]), (3, [])])
     listed = spark.createDataFrame([("a",), ("b",)], "token string")
