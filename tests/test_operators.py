@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.catalog import all_queries
 from textmill.functions.expressions import item_counts
 from textmill.operators import audit, coherence, eda, ngrams, shape, tfidf, threads, topics, vocabulary
 from textmill.operators.ordering import global_running
@@ -208,6 +209,17 @@ def test_tfidf_of_repeated_keys(spark):
     assert found.keys() == plain.keys() and all(found[k] == pytest.approx(plain[k]) for k in plain)
 
 
+def test_top_words_only_reads_stored_tokens(spark, tmp_path):
+    rows = [(i, "one two" if i % 2 else "three three four", "en", "a", 0) for i in range(12)] + [(12, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = all_queries()["top_words_only"](spark, str(tmp_path))
+    assert "regexp_replace" not in shown(found)
+    assert {r.doc_id: r.tokens for r in found.collect()} == {
+        i: "one, two" if i % 2 else "three, three, four" for i in range(12)
+    } | {12: ""}
+
+
 def test_top_words_keep_order_and_empty_rows(spark):
     df = frame(spark, [(1, ["b", "x", "a", "b"]), (2, ["x"]), (3, [])])
     listed = spark.createDataFrame([("a",), ("b",)], "token string")
