@@ -34,6 +34,8 @@ BLOCK = 512
 KEYS = ["key", "part", "other_part"]
 #: rows that are turned into arrays at a time
 PIECE = 2048
+#: a key is hot that has this many ids among the ids of which one in `HOT_SHARE` is taken: 4,096 ids or so, so hot keys are few
+HOT_SHARE, HOT_IDS = 256, 16
 #: minima of the signatures that candidates are compared on; they are made for candidates only
 CHECKS = 192
 
@@ -248,6 +250,55 @@ def exact_links(pairs: DataFrame, texts: DataFrame, threshold: Threshold, sets:
     return placed.mapInArrow(_confirmed(threshold, sets), "hub long, id long")
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct rows of keys with several ids, from a stream sorted by key; the distinct ids of one key are held between batches."""
+
+    def several(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        again = keys[1:] == keys[:-1]
+        some = np.append(False, again) | np.append(again, False)
+        keys, ids = keys[some], ids[some]
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))[: len(keys)]
+        keys, ids = keys[new], ids[new]
+        again = keys[1:] == keys[:-1]
+        some = (np.append(False, again) | np.append(again, False))[: len(keys)]
+        return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(ids[some])], ["key", "id"])
+
+    last, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.concatenate((last, batch["key"].to_numpy()))
+        ids = np.concatenate((held, batch["id"].to_numpy()))
+        end = len(keys) - int((keys[::-1] != keys[-1]).argmax()) if keys[0] != keys[-1] else 0
+        held = np.unique(ids[end:])
+        last = np.full(len(held), keys[-1])
+        if end:
+            yield several(keys[:end], ids[:end])
+    if len(held):
+        yield several(last, held)
+
+
+def _shared(buckets: DataFrame) -> DataFrame:
+    """The distinct (key, id) of all keys with several ids.
+
+    Rows are shuffled and sorted once by key, and nearly all of them go there. Keys that stand out among the rows of one id in `HOT_SHARE`
+    have several ids anyhow: their rows stay where they are, so that no task gets all rows of a hot key.
+    """
+    rows = buckets.select("key", "id").filter(F.col("key").isNotNull() & F.col("id").isNotNull())
+    some = rows.filter(F.pmod(F.xxhash64("id"), F.lit(HOT_SHARE)) == 0).distinct()
+    hot = stored(some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT_IDS).select("key"), "hot")
+    if hot.isEmpty():
+        return _met_rows(rows)
+    known = F.broadcast(hot)
+    return _met_rows(rows.join(known, "key", "left_anti")).union(rows.join(known, "key", "left_semi").distinct())
+
+
+def _met_rows(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, id long")
+
+
 def _labelled(table: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return table.withColumn("label", F.col("id"))
@@ -292,9 +343,7 @@ def similar_components(
     from a table of ids to (id, text).
     """
     # what is joined with a hot key's rows is stored first, so that the join alone deals them and its skew can be split
-    many = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    many = stored(many.filter(F.col("low") != F.col("high")).select("key"), "many")
-    shared = stored(buckets.join(many.hint("shuffle_hash"), "key").select("key", "id").distinct(), "shared")
+    shared = stored(_shared(buckets), "shared")
     ids = stored(shared.select("id").distinct(), "candidates")
     texts = stored(texts(ids), "texts")
     described = texts.mapInArrow(_described(sets), "id long, n long, sig binary")
