@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -225,3 +227,22 @@ def test_rows_of_more_batches_than_are_kept_are_counted(spark, tmp_path):
     finally:
         spark.conf.set(name, before)
     assert spark.read.parquet(target).count() == 80
+
+
+def test_predictions_read_the_training_vectors(planted, monkeypatch):
+    corpus = training.build_corpus(planted, "id", "body", SETTINGS, keep=("grp",))
+    model = training.fit(corpus, SETTINGS, 2)
+    wanted = training.predict(planted, model, corpus.dictionary, "stopwords_removed", keep=("id", "grp"))
+    counted = []
+    monkeypatch.setattr(vocabulary, "counted_rows", lambda *a, **k: counted.append(a))
+    found = training.predict_vectors(corpus.vectors("stopwords_removed", ("id", "grp")), model, keep=("id", "grp"))
+    assert not counted and found.columns == wanted.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    corpus.train.unpersist()
+
+
+def test_a_sample_is_not_all_that_is_predicted(planted):
+    corpus = training.build_corpus(planted, "id", "body", replace(SETTINGS, lda_sample_size=60), keep=("grp",))
+    assert corpus.train.count() == 60
+    assert sorted(r.id for r in corpus.vectors("stopwords_removed", ("id", "grp")).collect()) == list(range(100))
+    corpus.train.unpersist()
