@@ -270,6 +270,32 @@ def test_cosine_pairs_equal_brute_force(spark, threshold, block):
     assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k], abs=2e-6) for k in found)
 
 
+def test_cosine_pairs_shuffle_vectors_not_matches(spark, capsys):
+    rng = random.Random(5)
+    texts = [[(f"t{w}", rng.random() + 0.1) for w in rng.sample(range(6000), 1500)] for _ in range(20)]
+    texts += [[(t, s * 0.9) for t, s in text[:1200]] for text in texts[:10]] + [[("common", 0.5), (f"own{i}", 1.0)] for i in range(50)]
+    rows = []
+    for i, text in enumerate(texts):
+        length = math.sqrt(sum(s * s for _, s in text))
+        rows += [(None if i == 79 else f"d{i}", t, 1, s / length) for t, s in text]
+    by_doc = {}
+    for i, t, _, s in rows:
+        by_doc.setdefault(i, {})[t] = s
+    expected = {}
+    for a, b in itertools.combinations(sorted(k for k in by_doc if k), 2):
+        product = sum(v * by_doc[b].get(t, 0.0) for t, v in by_doc[a].items())
+        if round(product, 6) >= 0.7:
+            expected[a, b] = round(product, 6)
+    scores = spark.createDataFrame(rows, "id string, term string, df long, score double")
+    for block in (40, 7):
+        pairs = tfidf.cosine_pairs(scores, "id", 0.7, block)
+        found = {(r.left, r.right): r.cosine for r in pairs.collect()}
+        assert len(found) == 10 and found.keys() == expected.keys()
+        assert all(found[k] == pytest.approx(expected[k], abs=2e-6) for k in found)
+        pairs.explain()
+        assert "Join" not in capsys.readouterr().out  # no row for each match of a term
+
+
 def test_representatives(spark):
     df = frame(spark, [(3, ["a", "b"]), (1, ["b", "a"]), (2, ["a", "a", "b"])])
     pairs = [(r.representative, r.member) for r in tfidf.members(df, "id", "t").collect()]
