@@ -1,9 +1,11 @@
 """MinHash, line and vector groups against brute force."""
 
+import itertools
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from textmill.llm import components, linededup, links, minhash, shingles, vectors
@@ -143,6 +145,48 @@ def test_long_texts_are_cut_at_line_feeds(monkeypatch):
     assert rows() == whole and len(whole) == 301 and whole[-1][:2] == (2, 2)
 
 
+def test_minima_are_made_once_for_each_line():
+    minima = shingles.Minima(linededup.BANDS, linededup.ROWS)
+    lines = [f"line number {i * 7 % 5} of several" for i in range(12)] + ["a line that is new"]
+    units = [(0, 0, "\n".join(lines).encode())]
+    seen = {}
+    *_, digest, second, fresh, keys = linededup._lines(minima, units, seen)
+    assert fresh.tolist() == [True] * 5 + [False] * 7 + [True] and len(keys) == 6
+    assert len(set(zip(digest.tolist(), second.tolist(), strict=True))) == 6
+    for at, line in zip(np.flatnonzero(fresh), keys, strict=True):
+        alone = linededup._lines(minima, [(0, 0, lines[at].encode())])
+        assert alone[-1].tolist() == [line.tolist()] and (alone[2][0], alone[3][0]) == (digest[at], second[at])
+    *_, again, fresh, keys = linededup._lines(minima, units, seen)
+    assert not fresh.any() and not len(keys) and again.tolist() == second.tolist()
+
+
+@pytest.mark.parametrize("size", [1, 200, 1 << 20])
+def test_links_of_blocks_do_not_depend_on_the_slice(monkeypatch, size):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") * 6 for _ in range(12)) for _ in range(4)]
+    rows = []
+    for key in range(30):
+        for i in range(rng.randrange(2, 6)):
+            at = rng.randrange(16)
+            text = texts[at % 4] + " tail" * (at // 4 % 2)
+            rows.append({"key": key, "part": 0, "other_part": 0, "id": at, "label": at, "main": 0, "n": 60, "sig": b"x" * links.CHECKS,
+                         "keys": [key], "outside": i % 2, "text": text})
+    table = pa.Table.from_pylist(rows)
+    batches = lambda: iter(table.to_batches(max_chunksize=17))
+    put = lambda: [tuple(r.values()) for b in links._block_links(t, sets)(batches()) for r in b.to_pylist()]
+    t, sets = links.Threshold(80, 100), lambda x: shingles.char_sets(x, linededup.RUN)
+    wanted = set()
+    for key in range(30):
+        own = [r for r in rows if r["key"] == key]
+        for a, b in itertools.product([r for r in own if r["outside"]], [r for r in own if not r["outside"]]):
+            if a["id"] != b["id"] and (b["label"] == 0 or b["id"] > a["id"]):
+                one, other = (char_set(r["text"]) for r in (a, b))
+                if 100 * len(one & other) >= 80 * len(one | other):
+                    wanted.add((b["id"], a["id"]))
+    monkeypatch.setattr(links.shingles, "SLICE", size)
+    assert wanted and set(put()) == wanted
+
+
 def brute_vectors(rows, least=0.9):
     usable = {
         i: np.array(v, float)

@@ -33,3 +33,27 @@ def test_runs_that_cross_batches(size):
     ]
     found = [tuple(r.values()) for b in links._met(iter(batches)) for r in b.to_pylist()]
     assert sorted(found) == [(2, 7), (2, 8), (2, 9), (5, 1), (5, 2)]
+
+
+def test_lists_of_keys_are_dealt_without_a_row_for_each_key(spark, monkeypatch):
+    lists = [(i, [i % 40, 1000 + i, 1000 + i]) for i in range(600)] + [(700, [5000, None]), (701, None), (None, [5000]), (702, []), (703, [5001])]
+    made = spark.createDataFrame(lists * 2, "id long, keys array<long>")
+    wanted = sorted((i % 40, i) for i in range(600))
+    for share, gathered in ((256, 1 << 20), (256, 50), (1, 70)):
+        monkeypatch.setattr(links, "HOT_SHARE", share)
+        monkeypatch.setattr(links, "GATHERED", gathered)
+        assert sorted(tuple(r) for r in links._shared(made).collect()) == wanted
+    monkeypatch.setattr(links, "HOT_SHARE", 256)
+    plan = links._shared(made)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Generate" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 100])
+@pytest.mark.parametrize("gathered", [4, 16, 1 << 20])
+def test_parts_that_cross_batches(monkeypatch, size, gathered):
+    monkeypatch.setattr(links, "GATHERED", gathered)
+    rows = [(0, [1, 2], [5, 6]), (0, [2], [7]), (3, [8, 8], [1, 1]), (3, [9], [1]), (3, [9], [2]), (4, [11], [1]), (7, [12, 12, 13], [3, 4, 5])]
+    schema = pa.schema([("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64()))])
+    table = pa.Table.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+    found = [tuple(r.values()) for b in links._met_parts(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    assert sorted(found) == [(2, 6), (2, 7), (9, 1), (9, 2), (12, 3), (12, 4)]

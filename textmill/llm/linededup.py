@@ -54,8 +54,11 @@ def _units(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield held
 
 
-def _lines(minima: shingles.Minima, units: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
-    """Places, line numbers, digests, second digests and band keys of the lines that are not blank."""
+def _lines(minima: shingles.Minima, units: list[tuple[int, int, bytes]], seen: dict[int, int] | None = None) -> tuple[np.ndarray, ...]:
+    """Places, line numbers, digests, second digests of the lines that are not blank, which of them are new to `seen`, and band keys of these.
+
+    seen: second digests by digest; new ones are added.
+    """
     joined = b"\n".join(u[2] for u in units)
     raw = np.frombuffer(joined, np.uint8)
     feeds = np.flatnonzero(raw == np.uint8(10))
@@ -75,25 +78,28 @@ def _lines(minima: shingles.Minima, units: list[tuple[int, int, bytes]]) -> tupl
         starts, ends, places, numbers = starts[full], ends[full], places[full], numbers[full]
     if not len(starts):
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros((0, BANDS), np.int64)
+        return empty, empty, empty, empty, empty.astype(bool), np.zeros((0, BANDS), np.int64)
     runs, stops, digest = shingles.char_windows(raw, starts, ends, RUN)
-    keys = minima.of_windows(runs, starts, stops)
-    second = shingles.mix(keys.view(np.uint64).sum(axis=1, dtype=np.uint64))
-    return places, numbers, digest.view(np.int64), second.view(np.int64), keys
+    digest = digest.view(np.int64)
+    seen = {} if seen is None else seen
+    names, firsts, which = np.unique(digest, return_index=True, return_inverse=True)
+    firsts = np.sort(firsts[[name not in seen for name in names.tolist()]])  # in the order of the text, as the minima need them
+    keys = minima.of_windows(runs, starts[firsts], stops[firsts]) if len(firsts) else np.zeros((0, BANDS), np.int64)
+    marks = shingles.mix(keys.view(np.uint64).sum(axis=1, dtype=np.uint64)).view(np.int64)
+    seen.update(zip(digest[firsts].tolist(), marks.tolist(), strict=True))
+    second = np.array([seen[name] for name in names.tolist()], np.int64)[which]
+    fresh = np.zeros(len(digest), bool)
+    fresh[firsts] = True
+    return places, numbers, digest, second, fresh, keys
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     minima = shingles.Minima(BANDS, ROWS)
-    seen: set[int] = set()
+    seen: dict[int, int] = {}
     for batch in batches:
         ids = batch["doc_id"]
         for units in _units(shingles.text_bytes(batch["text"])):
-            places, numbers, digest, second, keys = _lines(minima, units)
-            fresh = np.zeros(len(digest), bool)
-            for i, value in enumerate(digest.tolist()):
-                if value not in seen:
-                    seen.add(value)
-                    fresh[i] = True
+            places, numbers, digest, second, fresh, keys = _lines(minima, units, seen)
             if len(seen) > SEEN:
                 seen.clear()
             counts = np.concatenate(([0], np.cumsum(fresh * BANDS))).astype(np.int32)
@@ -103,7 +109,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(numbers.astype(np.int32)),
                     pa.array(digest),
                     pa.array(second),
-                    pa.ListArray.from_arrays(pa.array(counts), pa.array(keys[fresh].ravel())),
+                    pa.ListArray.from_arrays(pa.array(counts), pa.array(keys.ravel())),
                 ],
                 ["doc_id", "line", "id", "mark", "keys"],
             )
@@ -136,7 +142,6 @@ def removed_lines(docs: DataFrame, parts: int = 80, whole: int = 100) -> DataFra
     lines = signed.select("doc_id", "line", "id", "mark")
     fresh = signed.filter(F.size("keys") > 0)
     labels = similar_components(
-        fresh.select(F.explode("keys").alias("key"), "id"),
         fresh.select("id", "keys"),
         _texts(texts, lines),
         Threshold(parts, whole),

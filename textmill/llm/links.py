@@ -22,6 +22,7 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ KEYS = ["key", "part", "other_part"]
 PIECE = 2048
 #: a key is hot that has this many ids among the ids of which one in `HOT_SHARE` is taken: 4,096 ids or so, so hot keys are few
 HOT_SHARE, HOT_IDS = 256, 16
+#: parts that the bucket rows are dealt to by key, and the rows that a task gathers before it deals them
+PARTS, GATHERED = 4096, 1 << 20
 #: minima of the signatures that candidates are compared on; they are made for candidates only
 CHECKS = 192
 
@@ -194,25 +197,42 @@ def _asked(threshold: Threshold) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 
 
 def _block_links(threshold: Threshold, sets: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Exact links of each block; the sets of the rows that are asked are held, the others go by one at a time."""
+    """Exact links of each block; the sets of small blocks are made together, of large ones those that are asked are held, the others go by."""
+
+    def linked(members: _Members, asking: Iterator[tuple[int, np.ndarray]], held: dict[int, np.ndarray], others: np.ndarray, out: tuple) -> None:
+        for i, own in asking:
+            joined = set()
+            for j in members.likely(i, others).tolist():
+                if members.labels[j] not in joined and threshold.met(held[j], own):
+                    joined.add(members.labels[j])
+                    out[0].append(int(members.ids[j]))
+                    out[1].append(int(members.ids[i]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, bounds in _aligned(batches, KEYS):
             members = _Members(threshold, piece)
             texts = piece["text"]
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
             out: tuple[list[int], list[int]] = ([], [])
+            made: dict[int, np.ndarray] = {}
+            upto = 0
             for start, end in zip(bounds[:-1], bounds[1:], strict=True):
                 asking, others = members.sides(start, end)
                 if not len(asking) or not len(others):
                     continue
-                held = dict(zip(others.tolist(), sets(shingles.text_bytes(texts.take(others))), strict=True))
-                for i, own in zip(asking.tolist(), sets(shingles.text_bytes(texts.take(asking))), strict=True):
-                    joined = set()
-                    for j in members.likely(i, others).tolist():
-                        if members.labels[j] not in joined and threshold.met(held[j], own):
-                            joined.add(members.labels[j])
-                            out[0].append(int(members.ids[j]))
-                            out[1].append(int(members.ids[i]))
+                before = sizes[start - 1] if start else 0
+                if end > upto:  # sets of the runs that begin here, as far as they are no longer than a slice together
+                    whole = bounds[np.searchsorted(bounds, np.searchsorted(sizes, before + shingles.SLICE, "right"), "right") - 1]
+                    made, upto = {}, max(upto, int(whole))
+                    if end <= upto:
+                        names, firsts = np.unique(members.ids[start:upto], return_index=True)
+                        made = dict(zip(names.tolist(), sets(shingles.text_bytes(texts.take(firsts + start))), strict=True))
+                if end <= upto:
+                    ids = members.ids
+                    linked(members, ((i, made[ids[i]]) for i in asking.tolist()), {j: made[ids[j]] for j in others.tolist()}, others, out)
+                else:
+                    held = dict(zip(others.tolist(), sets(shingles.text_bytes(texts.take(others))), strict=True))
+                    linked(members, zip(asking.tolist(), sets(shingles.text_bytes(texts.take(asking))), strict=True), held, others, out)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["hub", "id"])
 
     return run
@@ -250,21 +270,22 @@ def exact_links(pairs: DataFrame, texts: DataFrame, threshold: Threshold, sets:
     return placed.mapInArrow(_confirmed(threshold, sets), "hub long, id long")
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct rows of keys with several ids, from a stream sorted by key; the distinct ids of one key are held between batches."""
+def _several(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """The distinct rows of keys with several ids, from rows sorted by key."""
+    again = keys[1:] == keys[:-1]
+    some = (np.append(False, again) | np.append(again, False))[: len(keys)]
+    keys, ids = keys[some], ids[some]
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))[: len(keys)]
+    keys, ids = keys[new], ids[new]
+    again = keys[1:] == keys[:-1]
+    some = (np.append(False, again) | np.append(again, False))[: len(keys)]
+    return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(ids[some])], ["key", "id"])
 
-    def several(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-        again = keys[1:] == keys[:-1]
-        some = np.append(False, again) | np.append(again, False)
-        keys, ids = keys[some], ids[some]
-        order = np.lexsort((ids, keys))
-        keys, ids = keys[order], ids[order]
-        new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))[: len(keys)]
-        keys, ids = keys[new], ids[new]
-        again = keys[1:] == keys[:-1]
-        some = (np.append(False, again) | np.append(again, False))[: len(keys)]
-        return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(ids[some])], ["key", "id"])
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct rows of keys with several ids, from a stream sorted by key; the distinct ids of one key are held between batches."""
     last, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
         if not batch.num_rows:
@@ -275,28 +296,102 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unique(ids[end:])
         last = np.full(len(held), keys[-1])
         if end:
-            yield several(keys[:end], ids[:end])
+            yield _several(keys[:end], ids[:end])
     if len(held):
-        yield several(last, held)
+        yield _several(last, held)
+
+
+def _dealt(hot: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(part, keys, ids): the rows of (id, keys) but those of the hot keys (sorted), gathered by parts that the key decides."""
+
+    def deal(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        parts = (shingles.mix(keys.view(np.uint64)) % shingles.U(PARTS)).astype(np.uint16)
+        order = np.argsort(parts, kind="stable")
+        sizes = np.bincount(parts, minlength=PARTS)
+        some = np.flatnonzero(sizes)
+        bounds = pa.array(np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(bounds, pa.array(x[order])) for x in (keys, ids)]
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *lists], ["part", "keys", "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[tuple[np.ndarray, np.ndarray]] = []
+        count = 0
+        for batch in batches:
+            lists = batch["keys"]
+            ids = batch["id"].take(pc.list_parent_indices(lists))
+            flat = pc.list_flatten(lists)
+            if flat.null_count or ids.null_count:
+                whole = pa.Table.from_arrays([flat, ids], ["keys", "ids"]).drop_null()
+                flat, ids = whole["keys"].combine_chunks(), whole["ids"].combine_chunks()
+            keys, ids = flat.to_numpy(zero_copy_only=False), ids.to_numpy(zero_copy_only=False)
+            if len(hot):
+                cold = hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] != keys
+                keys, ids = keys[cold], ids[cold]
+            gathered.append((keys, ids))
+            count += len(keys)
+            if count >= GATHERED:
+                yield deal(*(np.concatenate(x) for x in zip(*gathered, strict=True)))
+                gathered, count = [], 0
+        if count:
+            yield deal(*(np.concatenate(x) for x in zip(*gathered, strict=True)))
+
+    return run
+
+
+def _met_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`_met` of (part, keys, ids), from a stream sorted by part; the rows of one part are held."""
+
+    def several(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys, ids = (np.concatenate([p[c].flatten().to_numpy() for p in pieces]) for c in ("keys", "ids"))
+        order = np.argsort(keys)
+        return _several(keys[order], ids[order])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        parts = batch["part"].to_numpy()
+        for start, end in _spans(parts, batch["keys"].value_lengths().to_numpy()):
+            if held and held[-1]["part"][-1].as_py() != parts[start]:
+                yield several(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield several(held)
+
+
+def _spans(parts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that end where a part ends, of about `GATHERED` / 4 keys if the parts are smaller."""
+    ends = np.append(np.flatnonzero(parts[1:] != parts[:-1]) + 1, len(parts))
+    sums = np.cumsum(sizes)
+    start = 0
+    while start < len(parts):
+        before = sums[start - 1] if start else 0
+        full = int(np.searchsorted(sums, before + GATHERED // 4)) + 1
+        end = int(ends[min(np.searchsorted(ends, full), len(ends) - 1)])
+        # what is left of the last part may go on in the next batch, so it is a range of its own
+        if end == len(parts) and len(ends) > 1 and start < ends[-2]:
+            end = int(ends[-2])
+        yield start, end
+        start = end
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
-    """The distinct (key, id) of all keys with several ids.
+    """The distinct (key, id) of all keys with several ids; buckets: (key, id), or (id, keys) with lists of keys.
 
-    Rows are shuffled and sorted once by key, and nearly all of them go there. Keys that stand out among the rows of one id in `HOT_SHARE`
-    have several ids anyhow: their rows stay where they are, so that no task gets all rows of a hot key.
+    Rows are gathered in each task by parts of the keys, so that lists are shuffled, once, and not each row. Keys that stand out among the rows
+    of one id in `HOT_SHARE` have several ids anyhow: their rows stay where they are, so that no task gets all rows of a hot key.
     """
-    rows = buckets.select("key", "id").filter(F.col("key").isNotNull() & F.col("id").isNotNull())
+    lists = buckets.select("id", "keys" if "keys" in buckets.columns else F.array("key").alias("keys")).filter(F.col("id").isNotNull())
+    rows = lists.select("id", F.explode("keys").alias("key")).filter(F.col("key").isNotNull())
     some = rows.filter(F.pmod(F.xxhash64("id"), F.lit(HOT_SHARE)) == 0).distinct()
     hot = stored(some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT_IDS).select("key"), "hot")
-    if hot.isEmpty():
-        return _met_rows(rows)
-    known = F.broadcast(hot)
-    return _met_rows(rows.join(known, "key", "left_anti")).union(rows.join(known, "key", "left_semi").distinct())
-
-
-def _met_rows(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, id long")
+    known = np.array(sorted(r.key for r in hot.collect()), np.int64)  # few, and broadcast anyhow
+    dealt = lists.mapInArrow(_dealt(known), "part int, keys array<long>, ids array<long>")
+    met = dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_met_parts, "key long, id long")
+    if not len(known):
+        return met
+    return met.union(rows.select("key", "id").join(F.broadcast(hot), "key", "left_semi").distinct())
 
 
 def _labelled(table: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -335,15 +430,14 @@ def _placed(rows: DataFrame) -> DataFrame:
 
 
 def similar_components(
-    buckets: DataFrame, keys: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: Threshold, sets: Callable
+    keys: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: Threshold, sets: Callable
 ) -> DataFrame | None:
     """(id, component) of all items with a link; None if there is none.
 
-    buckets: (key, id), a row for each band of an item. keys: (id, keys), the keys of all its bands in order. Both may repeat an item. texts:
-    from a table of ids to (id, text).
+    keys: (id, keys), the keys of all bands of an item in order; it may repeat an item. texts: from a table of ids to (id, text).
     """
     # what is joined with a hot key's rows is stored first, so that the join alone deals them and its skew can be split
-    shared = stored(_shared(buckets), "shared")
+    shared = stored(_shared(keys), "shared")
     ids = stored(shared.select("id").distinct(), "candidates")
     texts = stored(texts(ids), "texts")
     described = texts.mapInArrow(_described(sets), "id long, n long, sig binary")

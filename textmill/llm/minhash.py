@@ -70,7 +70,6 @@ def duplicate_groups(docs: DataFrame, size: int = 5, parts: int = 80, whole: int
     chosen = linked.join(chosen, ["doc_id", *same], "left_semi").withColumnRenamed("doc_id", "id")
     wanted = texts.withColumnRenamed("doc_id", "id")
     labels = similar_components(
-        chosen.select(F.explode("keys").alias("key"), "id"),
         chosen.select("id", "keys"),
         lambda ids: wanted.join(ids, "id", "left_semi").dropDuplicates(["id"]),
         threshold,
