@@ -1,9 +1,10 @@
 """Buckets of similar items: which rows meet, and how often they are shuffled."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from textmill.llm import links
+from textmill.llm import links, shingles
 
 
 @pytest.mark.parametrize("share, ids", [(256, 16), (1, 3)])
@@ -57,3 +58,8 @@ def test_parts_that_cross_batches(monkeypatch, size, gathered):
     table = pa.Table.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
     found = [tuple(r.values()) for b in links._met_parts(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
     assert sorted(found) == [(2, 6), (2, 7), (9, 1), (9, 2), (12, 3), (12, 4)]
+
+
+@pytest.mark.parametrize("values", [[], [3], [5, 5], [2**64 - 1, 0, 7, 0, 2**64 - 1]])
+def test_distinct_values_are_sorted(values):
+    assert shingles.distinct(np.array(values, np.uint64)).tolist() == sorted(set(values))

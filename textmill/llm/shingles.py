@@ -97,6 +97,14 @@ def _words_of(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found, np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; a sort is several times faster here than the hash table of `np.unique`."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def word_sets(texts: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text; fewer words than `size` make one shingle, no words none."""
     factors = constants(2 * size + 1, 3)
@@ -109,7 +117,7 @@ def word_sets(texts: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
         sums = mix(sums)
         for start, end in zip(bounds[:-1], bounds[1:], strict=True):
             if end - start >= size:
-                yield np.unique(sums[start : end - size + 1])
+                yield distinct(sums[start : end - size + 1])
             elif end > start:
                 few = words[start:end]
                 yield mix((few * factors[: len(few)]).sum(keepdims=True) + factors[size + len(few) :][:1])
@@ -151,7 +159,7 @@ def char_sets(lines: Sequence[bytes], size: int) -> Iterator[np.ndarray]:
         runs, stops, _ = char_windows(np.frombuffer(b"".join(part), np.uint8), bounds[full], bounds[full + 1], size)
         at = dict(zip(full.tolist(), stops.tolist(), strict=True))
         for i in range(len(part)):
-            yield np.unique(runs[bounds[i] : at[i]]) if i in at else runs[:0]
+            yield distinct(runs[bounds[i] : at[i]]) if i in at else runs[:0]
 
 
 class Minima:
