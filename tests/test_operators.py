@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.catalog import all_queries
 from textmill.functions.expressions import item_counts
-from textmill.operators import audit, coherence, eda, ngrams, shape, tfidf, threads, topics, vocabulary
+from textmill.operators import audit, coherence, cosine, eda, ngrams, shape, tfidf, threads, topics, vocabulary
 from textmill.operators.ordering import global_running
 from textmill.plans import language
 from textmill.sources import files, tables
@@ -296,6 +296,44 @@ def test_cosine_pairs_shuffle_vectors_not_matches(spark, capsys):
         assert "Join" not in capsys.readouterr().out  # no row for each match of a term
 
 
+@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("with_length", [True, False])
+def test_cosine_pairs_of_copies(spark, block, with_length):
+    rng = random.Random(11)
+    texts = [[rng.choice(LONG_WORDS) for _ in range(rng.randint(1, 9))] for _ in range(12)]
+    rows = [(i, texts[i % 12] if i < 30 else texts[0]) for i in range(45)]
+    plain = plain_tfidf(rows, 1, 1.0)
+    by_doc = {}
+    for (i, t), v in plain.items():
+        by_doc.setdefault(i, {})[t] = v
+    expected = {}
+    for a, b in itertools.combinations(sorted(by_doc), 2):
+        similar = round(sum(v * by_doc[b].get(t, 0.0) for t, v in by_doc[a].items()), 6)
+        if similar >= 0.8:
+            expected[a, b] = similar
+    scores = tfidf.tfidf(frame(spark, rows), "id", "t", 1, 1.0, with_length=with_length)
+    found = tfidf.cosine_pairs(scores, "id", 0.8, block).collect()
+    assert len(found) == len(expected) and sum(v == 1.0 for v in expected.values()) > 100
+    assert all(r.cosine == pytest.approx(expected[r.left, r.right], abs=2e-6) for r in found)
+
+
+def test_high_products_of_long_vectors_and_repeated_terms(spark):
+    rng = random.Random(3)
+    vectors = {f"v{i}": [(f"t{rng.randrange(30)}", rng.uniform(-20, 40)) for _ in range(rng.randint(1, 40))] for i in range(40)}
+    sums = {}
+    for key, entries in vectors.items():
+        for t, s in entries:
+            sums.setdefault(key, Counter())[t] += s
+    expected = {}
+    for a, b in itertools.combinations(sorted(vectors), 2):
+        product = sum(s * sums[b][t] for t, s in sums[a].items())
+        if product >= 4000:
+            expected[a, b] = product
+    rows = [(key, t, s) for key, entries in vectors.items() for t, s in entries] + [(None, "t1", 900.0), ("v1", "t1", None)]
+    found = cosine.high_products(spark.createDataFrame(rows, "id string, term string, score double"), "id", 4000.0).collect()
+    assert expected and {(r.left, r.right): pytest.approx(r.product) for r in found} == expected
+
+
 def test_representatives(spark):
     df = frame(spark, [(3, ["a", "b"]), (1, ["b", "a"]), (2, ["a", "a", "b"])])
     pairs = [(r.representative, r.member) for r in tfidf.members(df, "id", "t").collect()]
