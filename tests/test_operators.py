@@ -1,6 +1,8 @@
 import itertools
 import math
+import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -8,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from textmill import session
 from textmill.catalog import all_queries
 from textmill.functions.expressions import item_counts
 from textmill.operators import audit, coherence, cosine, eda, ngrams, shape, tfidf, threads, topics, vocabulary
@@ -480,3 +483,21 @@ def test_only_runs_that_can_be_ranked_leave_python(spark):
     for make in (ngrams.bigram_collocations, ngrams.trigram_collocations):
         every = make(df, "id", "t", top=10**6).where("rank <= 5").collect()
         assert sorted(map(tuple, make(df, "id", "t", top=5).collect())) == sorted(map(tuple, every))
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    rows = spark.range(2000).withColumn("k", F.col("id") % 97).groupBy("k").agg(F.count("*").alias("n"))
+    before, kept = files(), spark.conf.get(session.DROP_SHUFFLES, None)
+    stored = session.materialise(rows)
+    for _ in range(50):  # files go in the background
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and spark.conf.get(session.DROP_SHUFFLES, None) == kept
+    assert stored.agg(F.sum("n")).first()[0] == 2000 and os.path.isdir(stored._stored_at.removeprefix("file:"))
+    session.discard(stored)
+    assert not os.path.exists(stored._stored_at.removeprefix("file:"))
