@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import blocks
 from textmill.operators.blocks import Blocks, Chunk, Met
-from textmill.session import materialise
+from textmill.session import discard, materialise
 
 
 def _gaussian(seed: int, place: Column, i: int) -> Column:
@@ -93,10 +93,10 @@ def principal_axes(
     max_rounds: int = 300,
 ) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """(axes (place, a0 .. a{n_axes-1}), mean (place, mean), variances) of the rows given as (doc, place, value) entries;
-    n_rows counts every row, those without entries too."""
+    n_rows counts every row, those without entries too. The entries are read twice: hand in stored ones."""
     if n_rows == 0:
         raise ValueError("no rows")
-    entries = materialise(entries.select("doc", F.col("place").cast("long").alias("place"), F.col("value").cast("double")))
+    entries = entries.select("doc", F.col("place").cast("long").alias("place"), F.col("value").cast("double"))
     mean = materialise(entries.groupBy("place").agg((F.sum("value") / F.lit(float(n_rows))).alias("mean")))
     n_places = mean.count()
     k = max(min(block, n_places), 0)
@@ -135,9 +135,14 @@ def principal_axes(
             axes = _combined(basis, basis_cols, rotation[:, : min(n_axes, width)], "a")
             missing = [F.lit(0.0).alias(f"a{j}") for j in range(min(n_axes, width), n_axes)]
             held.release()
-            return materialise(axes.select("*", *missing)), mean, np.concatenate([leading, np.zeros(n_axes - len(leading))]) / n_rows
-        before = leading
+            axes = materialise(axes.select("*", *missing))
+            discard(basis)
+            discard(moved)
+            return axes, mean, np.concatenate([leading, np.zeros(n_axes - len(leading))]) / n_rows
+        before, last = leading, basis
         basis = materialise(_combined(moved, moved_cols, _orthonormal(_products(moved, moved_cols, moved, moved_cols)), "b"))
+        discard(last)
+        discard(moved)
     held.release()
     raise RuntimeError(f"principal axes did not converge in {max_rounds} rounds")
 
