@@ -246,3 +246,14 @@ def test_a_sample_is_not_all_that_is_predicted(planted):
     assert corpus.train.count() == 60
     assert sorted(r.id for r in corpus.vectors("stopwords_removed", ("id", "grp")).collect()) == list(range(100))
     corpus.train.unpersist()
+
+
+def test_models_trained_at_the_same_time_are_those_of_each(spark):
+    docs = spark.createDataFrame([(i, ["ab", "cd", "ef", "gh"][i % 3 :] * 2) for i in range(30)], "id long, stopwords_removed array<string>")
+    chosen = settings.ModelSettings(no_below=1, lda_passes=2, lda_updates_per_pass=1)
+    corpus = training.build_corpus(docs.withColumn("text", F.lit("x")), "id", "text", chosen)
+    ks = [3, 2, 4, 2]
+    models = training.fit_each(corpus, chosen, ks)
+    assert [m.getK() for m in models] == ks
+    for k, model in zip(ks, models, strict=True):
+        assert model.logPerplexity(corpus.train) == pytest.approx(training.fit(corpus, chosen, k).logPerplexity(corpus.train))
